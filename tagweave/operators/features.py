@@ -10,7 +10,7 @@ from pyspark.ml.feature import (
     VectorIndexerModel,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.operators.lookup import join_lookup
 
@@ -73,8 +73,13 @@ def fit_vector_index(
     return VectorIndexer(inputCol=column, outputCol=features, maxCategories=max_categories).fit(df)
 
 
-def stable_split(df: DataFrame, key: str, fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Split rows by a hash of their key: the same rows on every run and partitioning."""
+def in_training(key: str, fraction: float = 0.8) -> Column:
+    """Whether a row is a training row, by a hash of its key: the same on every run and partitioning."""
     head = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
-    inside = F.conv(head, 16, 10).cast("bigint") < int(fraction * 2**32)
+    return F.conv(head, 16, 10).cast("bigint") < int(fraction * 2**32)
+
+
+def stable_split(df: DataFrame, key: str, fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows."""
+    inside = in_training(key, fraction)
     return df.filter(inside), df.filter(~inside)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # A lookup is sent to every executor only when it is no larger than this.
 BROADCAST_ROWS = 100_000
@@ -10,10 +11,28 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 SALTS = 64
 
 
+def row_bytes(lookup: DataFrame) -> Column:
+    """Rough size of a row: the length of its texts, 16 bytes for anything else of fixed width."""
+    texts = [f.name for f in lookup.schema if isinstance(f.dataType, StringType)]
+    arrays = [f.name for f in lookup.schema if isinstance(f.dataType, ArrayType)]
+    width = F.lit(16 * len(lookup.columns))
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    for name in arrays:
+        width = width + 16 * F.coalesce(F.size(name), F.lit(0))
+    return width
+
+
 def fits_broadcast(rows: int | None, size: int | None) -> bool:
     return (rows or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
+def is_small(lookup: DataFrame) -> bool:
+    """Whether a lookup may be broadcast, by counting it."""
+    found = lookup.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(lookup)).alias("size")).first()
+    return fits_broadcast(found.n, found.size)
+
+
 def join_lookup(
     rows: DataFrame, value: Column, lookup: DataFrame, key: str, how: str, small: bool
 ) -> DataFrame:

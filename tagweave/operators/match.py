@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.operators.lookup import fits_broadcast, join_lookup
+from tagweave.operators.lookup import fits_broadcast, join_lookup, row_bytes
 
 def checked_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
     """Rules that have a value, and whether they are small enough to broadcast.
@@ -12,10 +12,9 @@ def checked_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
     A value that occurs twice would tag a user twice: that is an error.
     """
     present = rules.filter(F.col("rule").isNotNull())
-    width = F.octet_length("rule") + F.coalesce(F.octet_length("tag_name"), F.lit(0)) + F.lit(16)
     size = (
         present.groupBy("rule")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(present)).alias("bytes"))
         .agg(
             F.sum("n").alias("rows"),
             F.sum("bytes").alias("bytes"),

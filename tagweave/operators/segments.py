@@ -11,7 +11,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tagweave.operators.features import assemble_features
+from tagweave.operators.lookup import is_small, join_lookup
 from tagweave.operators.match import match_rules
+from tagweave.storage import stage
 
 # Distinct score combinations a clustering may have: scores come from band
 # tables, so three measures with five bands give 125.
@@ -100,6 +102,22 @@ def fit_kmeans(
     return (kmeans.setWeightCol(weight) if weight else kmeans).fit(df)
 
 
+def local_copy(small: DataFrame) -> DataFrame:
+    """A result of known small size as literal rows, so that plans do not repeat its work."""
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+
+
+def tag_clusters(rows: DataFrame, cluster: str, ranks: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``center_sum``, ``rank`` and the tag of the rank to rows with a given cluster.
+
+    There is one row per cluster on the other side; it is written out once, since
+    a centre costs a pass over the rows.
+    """
+    named = stage(name_ranks(ranks, rules).withColumnRenamed("cluster", "_cluster"), "ranks")
+    joined = join_lookup(rows, F.col(cluster), named, "_cluster", "inner", is_small(named))
+    return joined.select(*rows.columns, "center_sum", "rank", "tag_id", "tag_name")
+
+
 def segment(
     scored: DataFrame,
     scores: list[str],
@@ -136,12 +154,12 @@ def segment(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cluster int, center array<double>",
     )
-    ranks = rank_clusters(centers)
+    ranks = local_copy(rank_clusters(centers))
     by_point = labelled.select(*scores, F.col("prediction").alias("cluster")).join(
-        F.broadcast(ranks.select("cluster", "rank")), "cluster"
+        ranks.select("cluster", "rank"), "cluster"
     )
     # At most GRID_POINTS rows of a few numbers each.
-    assigned = scored.join(F.broadcast(by_point), scores)
+    assigned = scored.join(F.broadcast(local_copy(by_point)), scores)
     return Segmentation(
         assigned.select(*scored.columns, "cluster", "rank"),
         ranks,

@@ -16,7 +16,7 @@ from tagweave.operators import classify, features, match, measures, segments
 from tagweave.plans import bulk_load, classifiers, tag_models
 from tagweave.sinks import profile
 from tagweave.sources import business, catalog, cells, files
-from tagweave.storage import scratch_path
+from tagweave.storage import scratch_path, stage
 
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.date(2024, 5, 10)
@@ -520,8 +520,8 @@ def vector_index(spark, sf_dir):
 
 
 def stable_split(spark, sf_dir):
-    train, test = features.stable_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    part = F.when(features.in_training("o_orderkey"), F.lit("train")).otherwise("test")
+    return table(spark, sf_dir, "orders").select("o_orderkey", part.alias("part"))
 
 
 # Clusters --------------------------------------------------------------------
@@ -546,20 +546,19 @@ def cluster_rank_labels(spark, sf_dir):
     """Rows of ten given clusters by the rank of their cluster; nine ranks have a tag."""
     vectors = embedding_vectors(spark, sf_dir)
     ranks = segments.rank_clusters(segments.cluster_centers(vectors, "label", "features"))
-    names = rank_catalog(spark, 500, [f"band {i}" for i in range(9)])
-    named = segments.name_ranks(ranks, catalog.value_rules(names))
-    return vectors.join(named, F.col("label") == F.col("cluster")).select(
+    names = catalog.value_rules(rank_catalog(spark, 500, [f"band {i}" for i in range(9)]))
+    return segments.tag_clusters(vectors, "label", ranks, names).select(
         "vec_id", "rank", "tag_name", F.round("center_sum", 6).alias("center_sum")
     )
 
 
 def order_segments(spark, sf_dir):
-    scored = tag_models.stage(rfm_score_scaled(spark, sf_dir), "scores")
+    scored = stage(rfm_score_scaled(spark, sf_dir), "scores")
     return segments.segment(scored, bands.score_columns(RFM_SCALED), k=5, max_iter=10).assigned
 
 
 def event_segments(spark, sf_dir):
-    scored = tag_models.stage(rfe_score_scaled(spark, sf_dir), "scores")
+    scored = stage(rfe_score_scaled(spark, sf_dir), "scores")
     return segments.segment(scored, bands.score_columns(RFE_SCALED), k=4, max_iter=20).assigned
 
 

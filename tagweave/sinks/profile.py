@@ -1,29 +1,29 @@
 """The profile: one wide row per user, one text column per tag.
 
-A stored profile is a folder of versions, ``v=0``, ``v=1``, …; a save never
-writes into the version it reads, and a version counts once Spark has marked it
-complete.
+A stored profile is a folder of versions; a save never writes into the version
+it reads, and a version counts once Spark has marked it complete. Versions are
+bucketed and sorted by the key, so an upsert moves the new rows to the old ones
+and not the whole profile.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tagweave.storage import file_system
 
-VERSION = re.compile(r"^v=(\d+)$")
+VERSION = re.compile(r"^v(\d+)-buckets(\d+)$")
 
 
 def _agreed(column: str) -> Column:
     """The one value a group holds for a column; two different ones are an error."""
-    return F.when(
-        F.min(column) == F.max(column), F.max(column)
-    ).when(
-        F.max(column).isNotNull(),
-        F.raise_error(F.concat(F.lit(f"conflicting values for {column}: "), F.min(column), F.lit(" / "), F.max(column))),
-    )
+    low, high = F.min(column), F.max(column)
+    conflict = F.concat(F.lit(f"conflicting values for {column}: "), low, F.lit(" and "), high)
+    return F.when(low == high, high).when(high.isNotNull(), F.raise_error(conflict))
 
 
 def assemble(frames: list[DataFrame], key: str = "userId") -> DataFrame:
@@ -35,67 +35,110 @@ def assemble(frames: list[DataFrame], key: str = "userId") -> DataFrame:
     stacked = frames[0]
     for frame in frames[1:]:
         stacked = stacked.unionByName(frame, allowMissingColumns=True)
-    tags = [c for c in stacked.columns if c != key]
-    no_key = F.raise_error(F.lit("profile row without a key"))
-    keyed = stacked.select(
-        F.coalesce(F.col(key).cast("string"), no_key).alias(key),
-        *[F.col(t).cast("string").alias(t) for t in tags],
-    )
+    text = stacked.select(*[F.col(c).cast("string").alias(c) for c in stacked.columns])
+    tags = [c for c in text.columns if c != key]
+    no_key = F.raise_error(F.lit("profile row without a key")).cast("boolean")
+    # The check is a filter and not part of the key, which keeps a partitioning by key usable.
+    keyed = text.filter(F.when(F.col(key).isNull(), no_key).otherwise(True))
     return keyed.groupBy(key).agg(*[_agreed(t).alias(t) for t in tags])
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "userId") -> DataFrame:
     """Old profile with the cells of ``new`` put in: a null cell in ``new`` changes nothing.
 
-    Both sides meet hash-partitioned on the key: ``new`` is folded to one row
-    per key with the partitioning the join needs anyway.
+    ``old`` has one row per key; ``new`` is folded to one with the partitioning
+    the join needs anyway.
     """
     fresh = assemble([new], key)
     tags = list(dict.fromkeys(c for c in [*old.columns, *fresh.columns] if c != key))
     joined = old.alias("old").join(fresh.alias("new"), key, "full_outer")
+    sides = {"new": fresh.columns, "old": old.columns}
 
     def cell(tag: str) -> Column:
-        sides = [F.col(f"{side}.`{tag}`") for side, df in (("new", fresh), ("old", old)) if tag in df.columns]
-        return F.coalesce(*sides).alias(tag)
+        return F.coalesce(*[F.col(f"{s}.`{tag}`") for s, names in sides.items() if tag in names])
+
+    return joined.select(key, *[cell(tag).alias(tag) for tag in tags])
+
 
-    return joined.select(key, *[cell(tag) for tag in tags])
+class Version(NamedTuple):
+    number: int
+    buckets: int
 
+    def path(self, base: str) -> str:
+        return f"{base}/v{self.number}-buckets{self.buckets}"
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions below ``base``, oldest first."""
+
+def latest_version(spark: SparkSession, base: str) -> Version | None:
+    """The newest complete version below ``base``."""
     fs, path = file_system(spark, base)
     if not fs.exists(path):
-        return []
+        return None
     found = []
     for status in fs.listStatus(path):
         match = VERSION.match(status.getPath().getName())
         done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
         if match and fs.exists(done):
-            found.append(int(match.group(1)))
-    return sorted(found)
+            found.append(Version(*map(int, match.groups())))
+    return max(found, default=None)
+
+
+def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """Scan of bucketed files that Spark knows to be bucketed.
 
+    Only a table carries that knowledge, so one is declared over the files for as
+    long as it takes to resolve it; dropping it leaves the files alone.
+    """
+    fields = spark.read.parquet(path).schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    name = f"tagweave_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    name = f"tagweave_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
 
-def read_profile(spark: SparkSession, base: str) -> DataFrame:
+
+def read_profile(spark: SparkSession, base: str, key: str = "userId") -> DataFrame:
     """The latest complete version of a stored profile."""
-    versions = _versions(spark, base)
-    if not versions:
+    version = latest_version(spark, base)
+    if version is None:
         raise ValueError(f"no profile at {base}")
-    return spark.read.parquet(f"{base}/v={versions[-1]}")
+    return _bucketed_scan(spark, version.path(base), key, version.buckets)
+
 
+def save_profile(
+    new: DataFrame, base: str, key: str = "userId", mode: str = "upsert", buckets: int | None = None
+) -> DataFrame:
+    """Store ``new`` as the next version, merged into the last one unless ``mode`` is overwrite.
 
-def save_profile(new: DataFrame, base: str, key: str = "userId", mode: str = "upsert") -> DataFrame:
-    """Store ``new`` as the next version, merged into the last one unless ``mode`` is overwrite."""
+    ``buckets`` is that of the last version, for a first one the number of
+    shuffle partitions; choose it so that a bucket is a few hundred megabytes.
+    """
     if mode not in ("upsert", "overwrite"):
         raise ValueError(f"unknown save mode {mode!r}")
     spark = new.sparkSession
-    versions = _versions(spark, base)
-    if mode == "upsert" and versions:
-        merged = upsert(read_profile(spark, base), new, key)
+    last = latest_version(spark, base)
+    if buckets is None:
+        buckets = last.buckets if last else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if mode == "upsert" and last:
+        merged = upsert(read_profile(spark, base, key), new, key)
     else:
         merged = assemble([new], key)
-    following = versions[-1] + 1 if versions else 0
-    merged.write.mode("overwrite").parquet(f"{base}/v={following}")
-    return read_profile(spark, base)
+    if not (mode == "upsert" and last and last.buckets == buckets):
+        merged = merged.repartition(buckets, key)  # one file per bucket
+    following = Version(last.number + 1 if last else 0, buckets)
+    _write_bucketed(merged, following.path(base), key, buckets)
+    return read_profile(spark, base, key)
 
 
 def copy_fields(source: DataFrame, fields: list[str], key: str, base: str) -> DataFrame:
