@@ -68,18 +68,27 @@ class Version(NamedTuple):
         return f"{base}/v{self.number}-buckets{self.buckets}"
 
 
-def latest_version(spark: SparkSession, base: str) -> Version | None:
-    """The newest complete version below ``base``."""
+def stored_versions(spark: SparkSession, base: str) -> tuple[list[Version], list[Version]]:
+    """Complete versions below ``base``, and those a failed save left behind; oldest first."""
     fs, path = file_system(spark, base)
-    if not fs.exists(path):
-        return None
-    found = []
-    for status in fs.listStatus(path):
+    complete: list[Version] = []
+    broken: list[Version] = []
+    for status in fs.listStatus(path) if fs.exists(path) else []:
         match = VERSION.match(status.getPath().getName())
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if match and fs.exists(done):
-            found.append(Version(*map(int, match.groups())))
-    return max(found, default=None)
+        if match:
+            done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            (complete if fs.exists(done) else broken).append(Version(*map(int, match.groups())))
+    return sorted(complete), sorted(broken)
+
+
+def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
+    """Delete all but the last ``keep`` complete versions, and what older failed saves left."""
+    complete, broken = stored_versions(spark, base)
+    kept = complete[-keep:]
+    fs, _ = file_system(spark, base)
+    for version in [*complete, *broken]:
+        if kept and version not in kept and version < kept[-1]:
+            fs.delete(file_system(spark, version.path(base))[1], True)
 
 
 def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
@@ -110,10 +119,10 @@ def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
 
 def read_profile(spark: SparkSession, base: str, key: str = "userId") -> DataFrame:
     """The latest complete version of a stored profile."""
-    version = latest_version(spark, base)
-    if version is None:
+    complete, _ = stored_versions(spark, base)
+    if not complete:
         raise ValueError(f"no profile at {base}")
-    return _bucketed_scan(spark, version.path(base), key, version.buckets)
+    return _bucketed_scan(spark, complete[-1].path(base), key, complete[-1].buckets)
 
 
 def save_profile(
@@ -127,7 +136,8 @@ def save_profile(
     if mode not in ("upsert", "overwrite"):
         raise ValueError(f"unknown save mode {mode!r}")
     spark = new.sparkSession
-    last = latest_version(spark, base)
+    complete, broken = stored_versions(spark, base)
+    last = complete[-1] if complete else None
     if buckets is None:
         buckets = last.buckets if last else int(spark.conf.get("spark.sql.shuffle.partitions"))
     if mode == "upsert" and last:
@@ -136,8 +146,8 @@ def save_profile(
         merged = assemble([new], key)
     if not (mode == "upsert" and last and last.buckets == buckets):
         merged = merged.repartition(buckets, key)  # one file per bucket
-    following = Version(last.number + 1 if last else 0, buckets)
-    _write_bucketed(merged, following.path(base), key, buckets)
+    number = max((v.number for v in [*complete, *broken]), default=-1) + 1
+    _write_bucketed(merged, Version(number, buckets).path(base), key, buckets)
     return read_profile(spark, base, key)
 
 

@@ -1,0 +1,180 @@
+"""Rule text, conditions, dates, bands and money."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagweave.functions import bands, conditions, dates, money, rules
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first().x
+
+
+def test_rule_map_trims_and_keeps_later_equals_signs(spark):
+    text = F.lit("a=1\n b=2 \r\n\n\turl=jdbc:x?p=q\n")
+    assert one(spark, rules.rule_map(text)) == {"a": "1", "b": "2", "url": "jdbc:x?p=q"}
+
+
+def test_rule_map_rejects_line_without_value(spark, failing):
+    failing(spark.range(1).select(rules.rule_map(F.lit("a=1\nb"))), "without '='")
+
+
+def test_rule_map_rejects_repeated_key(spark, failing):
+    failing(spark.range(1).select(rules.rule_map(F.lit("a=1\na=2"))), "(?i)duplicate")
+
+
+def test_rule_values(spark, failing):
+    found = rules.rule_map(F.lit("a=1"))
+    assert one(spark, rules.rule_value(found, "a")) == "1"
+    assert one(spark, rules.rule_value(found, "b")) is None
+    assert one(spark, rules.rule_value(found, "b", "none")) == "none"
+    assert one(spark, rules.required_value(found, "a")) == "1"
+    failing(spark.range(1).select(rules.required_value(found, "b")), "has no 'b'")
+
+
+def test_parse_condition():
+    assert conditions.parse_condition("modified[GE]20190601") == ("modified", "ge", "20190601")
+    assert conditions.parse_condition("x[ne]1") == ("x", "ne", "1")
+    assert conditions.parse_condition("x[eq]a[b]") == ("x", "eq", "a[b]")
+    assert len(conditions.parse_conditions("f[GE]a,f[LE]b")) == 2
+    with pytest.raises(ValueError, match="zz"):
+        conditions.parse_condition("x[zz]1")
+    with pytest.raises(ValueError, match="not a condition"):
+        conditions.parse_condition("x>1")
+
+
+def test_condition_parts_rejects_unknown_comparison(spark, failing):
+    failing(spark.range(1).select(conditions.condition_parts(F.lit("x[zz]1"))), "not a condition")
+
+
+@pytest.mark.parametrize(
+    "text, kept",
+    [
+        ("n[EQ]2", [2]), ("n[ne]2", [1, 3]), ("n[gt]2", [3]), ("n[LT]2", [1]), ("n[ge]2", [2, 3]),
+        ("n[Le]2", [1, 2]), ("n[GE]2,t[eq]b", [2]), ("t[gt]a", [2, 3]),
+        ("at[LE]2019-06-01", [1, 2]), ("at[GT]2019-06-01", [3]), ("at[EQ]2019-06-01", [1, 2]),
+        ("at[NE]2019-06-01", [3]), ("at[GE]2019-06-02", [3]), ("at[LT]2019-06-02", [1, 2]),
+        ("at[LE]2019-06-01 00:00:00", [1]),
+    ],
+)
+def test_filter_by(spark, text, kept):
+    moments = [(1, "a", "2019-06-01 00:00:00"), (2, "b", "2019-06-01 10:00:00"), (3, "c", "2019-06-02 00:00:00")]
+    df = spark.createDataFrame(moments, "n int, t string, at string").withColumn(
+        "at", F.col("at").cast("timestamp_ntz")
+    )
+    assert sorted(r.n for r in conditions.filter_by(df, text).collect()) == kept
+
+
+def test_window_bounds():
+    as_of = dt.date(2024, 3, 2)
+    yesterday = dt.date(2024, 3, 1)
+    assert conditions.parse_window("m#day#30", as_of) == ("m", dt.date(2024, 1, 31), yesterday)
+    assert conditions.parse_window("m#month#1", as_of) == conditions.parse_window("m#day#30", as_of)
+    assert conditions.parse_window("m#year#1", as_of) == ("m", dt.date(2023, 3, 2), yesterday)
+    assert (
+        conditions.window_text(conditions.parse_window("m#day#1", as_of))
+        == "m[GE]2024-02-29,m[LE]2024-03-01"
+    )
+    with pytest.raises(ValueError, match="week"):
+        conditions.parse_window("m#week#1", as_of)
+    with pytest.raises(ValueError, match="field#unit#amount"):
+        conditions.parse_window("m#day", as_of)
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz", "timestamp", "date"])
+def test_filter_window_keeps_the_whole_last_day(spark, kind):
+    texts = ["2024-02-27 23:59:59", "2024-02-28 00:00:00", "2024-03-01 23:59:59", "2024-03-02 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    df = df.select(F.col("m").alias("text"), F.col("m").cast(kind).alias("m"))
+    kept = conditions.filter_window(df, "m#day#2", dt.date(2024, 3, 2))
+    assert sorted(r.text for r in kept.collect()) == texts[1:3]
+
+
+def test_filters_reach_the_scan(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    spark.range(3).select("id", F.current_timestamp().cast("timestamp_ntz").alias("at")).write.parquet(path)
+    df = conditions.filter_by(
+        conditions.filter_window(spark.read.parquet(path), "at#day#3", dt.date(2024, 3, 2)), "id[GE]2"
+    )
+    (pushed,) = [line for line in plan_of(df).splitlines() if line.startswith("PushedFilters")]
+    assert "GreaterThanOrEqual(at" in pushed and "LessThan(at" in pushed and "GreaterThanOrEqual(id,2)" in pushed
+
+
+def test_dates(spark):
+    assert one(spark, dates.shift_date(F.lit("2024-03-01"), -1)) == "2024-02-29"
+    assert one(spark, dates.shift_date(F.lit("2023-12-31"), 1)) == "2024-01-01"
+    moved = dates.shift_date(F.lit("2024-02-28 13:14:15"), 2, dates.LONG_FORMAT)
+    assert one(spark, moved) == "2024-03-01 13:14:15"
+    assert one(spark, dates.now_text(dt.date(2024, 3, 2))) == "2024-03-02"
+    assert one(spark, dates.now_text("2024-03-02 01:02:03", dates.LONG_FORMAT)) == "2024-03-02 01:02:03"
+    assert one(spark, dates.date_text(F.lit(dt.date(2024, 3, 2)), "yyyy/MM")) == "2024/03"
+    assert one(spark, dates.parse_date(F.lit("02.03.2024"), "dd.MM.yyyy")) == dt.datetime(2024, 3, 2)
+    assert one(spark, dates.parse_date(F.lit("soon"), strict=False)) is None
+
+
+def test_malformed_date_is_an_error(spark, failing):
+    failing(spark.range(1).select(dates.parse_date(F.concat(F.lit("soo"), F.lit("n")))), "(?i)pars")
+
+
+def scores(spark, values, table, kind="double"):
+    df = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "i int, v string")
+    scored = df.select("i", bands.band_score(F.col("v").cast(kind), table).alias("s"))
+    return [r.s for r in scored.orderBy("i").collect()]
+
+
+def test_money_bands(spark):
+    values = ["9999.99", "10000", "49999", "49999.50", "50000", "200000"]
+    coded = bands.RFM_AS_CODED["monetary"]
+    assert scores(spark, values, coded, "decimal(20,2)") == [1, 2, 2, None, 3, 5]
+    closed = bands.RFM_DOCUMENTED["monetary"]
+    assert scores(spark, values, closed, "decimal(20,2)") == [1, 2, 2, 2, 3, 5]
+
+
+def test_recency_bands(spark):
+    days = [0, 1, 3, 4, 15, 16]
+    assert scores(spark, days, bands.RFM_AS_CODED["recency"]) == [None, 5, 5, 4, 2, 1]
+    assert scores(spark, days, bands.RFM_DOCUMENTED["recency"]) == [5, 5, 5, 4, 2, 1]
+    assert scores(spark, [0, 15, 16, 60, 61], bands.RFE_AS_CODED["recency"]) == [None, 5, 4, 2, 1]
+    assert scores(spark, [0, 15, 16, 60, 61], bands.RFE_DOCUMENTED["recency"]) == [5, 5, 4, 2, 1]
+
+
+def test_engagement_bands(spark):
+    assert scores(spark, [48, 49, 50], bands.RFE_AS_CODED["engagements"]) == [1, None, 2]
+    assert scores(spark, [48, 49, 50], bands.RFE_DOCUMENTED["engagements"]) == [1, 1, 2]
+
+
+@pytest.mark.parametrize("name", ["RFM", "RFE"])
+def test_both_presets_agree_where_the_literal_one_has_a_score(spark, name):
+    coded, closed = getattr(bands, f"{name}_AS_CODED"), getattr(bands, f"{name}_DOCUMENTED")
+    for measure in coded:
+        values = [*range(0, 500), 9999, 10000, 49999, 50000, 99999, 100000, 199999, 200000]
+        pairs = zip(scores(spark, values, coded[measure]), scores(spark, values, closed[measure]))
+        assert all(b is not None and (a is None or a == b) for a, b in pairs)
+
+
+def test_unknown_value_has_no_score(spark):
+    for table in [*bands.RFM_DOCUMENTED.values(), *bands.RFE_AS_CODED.values()]:
+        assert one(spark, bands.band_score(F.lit(None).cast("double"), table)) is None
+
+
+def test_activity_sample(spark):
+    rows = [
+        (1, 23, 418, 270), (102, 23, 415, 271), (107, 23, 424, 280), (110, 23, 356, 249),
+        (111, 23, 381, 257), (120, 23, 386, 269),
+    ]
+    df = spark.createDataFrame(rows, "userId int, recency int, frequency long, engagements long")
+    for preset in (bands.RFE_AS_CODED, bands.RFE_DOCUMENTED):
+        found = {r.userId: tuple(r)[1:] for r in bands.add_scores(df, preset).collect()}
+        assert found == {
+            1: (4, 5, 5), 102: (4, 5, 5), 107: (4, 5, 5), 110: (4, 4, 4), 111: (4, 4, 5), 120: (4, 4, 5),
+        }
+
+
+def test_bad_money_is_counted_and_left_out(spark):
+    rows = [("u", "1.10"), ("u", "2.205"), ("u", "n/a"), ("u", None), ("u", "123456789.00"), ("v", "x")]
+    df = spark.createDataFrame(rows, "user string, amount string")
+    found = {r.user: (r.total, r.bad_amounts) for r in money.clean_sum(df, "user", "amount").collect()}
+    assert found == {"u": (Decimal("3.31"), 2), "v": (None, 1)}
