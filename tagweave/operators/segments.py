@@ -25,14 +25,14 @@ class Segmentation(NamedTuple):
 
     assigned: DataFrame  # the input columns, ``cluster`` and ``rank``
     ranks: DataFrame  # cluster, center, center_sum, rank
-    grid: DataFrame  # each score combination with its weight ``w`` and ``prediction``
+    scores: list[str]
     cost: float
 
     def silhouette(self) -> float | None:
         """Mean silhouette over all users; none for a single cluster."""
         if self.ranks.count() < 2:
             return None
-        return silhouette(self.grid, "prediction", "features", "w")
+        return silhouette(assemble_features(self.assigned, self.scores), "cluster", "features")
 
 
 def rank_clusters(centers: DataFrame) -> DataFrame:
@@ -78,12 +78,12 @@ def within_cluster_error(df: DataFrame, cluster: str, features: str) -> DataFram
     return spread.agg(F.sum(F.col("v") * (F.col("n") - 1)).alias("wssse"))
 
 
-def silhouette(df: DataFrame, cluster: str, features: str, weight: str | None = None) -> float:
-    """Mean silhouette by squared Euclidean distance; needs two clusters."""
-    evaluator = ClusteringEvaluator(predictionCol=cluster, featuresCol=features)
-    if weight:
-        evaluator = evaluator.setWeightCol(weight)
-    return evaluator.evaluate(df)
+def silhouette(df: DataFrame, cluster: str, features: str) -> float:
+    """Mean silhouette by squared Euclidean distance; needs two clusters.
+
+    It has no weighted form here: the weight of a point would count as its own copy.
+    """
+    return ClusteringEvaluator(predictionCol=cluster, featuresCol=features).evaluate(df)
 
 
 def fit_kmeans(
@@ -145,24 +145,27 @@ def segment(
     points = sorted(p for p in points if p not in unscored)
     if not points:
         raise ValueError("no user has all scores")
-    grid = assemble_features(
-        spark.createDataFrame(points, counted.schema).coalesce(1), scores, "features"
-    )
-    model = fit_kmeans(grid, k=k, max_iter=max_iter, seed=seed, weight="w")
-    labelled = model.transform(grid)
-    centers = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, center array<double>",
-    )
-    ranks = local_copy(rank_clusters(centers))
-    by_point = labelled.select(*scores, F.col("prediction").alias("cluster")).join(
-        ranks.select("cluster", "rank"), "cluster"
-    )
-    # At most GRID_POINTS rows of a few numbers each.
-    assigned = scored.join(F.broadcast(local_copy(by_point)), scores)
-    return Segmentation(
-        assigned.select(*scored.columns, "cluster", "rank"),
-        ranks,
-        labelled,
-        model.summary.trainingCost,
+    schema = ", ".join(f"`{s}` double" for s in scores) + ", w double"
+    grid = spark.createDataFrame([(*(float(p[s]) for s in scores), p.w) for p in points], schema)
+    if len(points) <= k:
+        # Every point is a cluster of its own: nothing to fit, and nothing better to find.
+        centers = [[float(p[s]) for s in scores] for p in points]
+        clusters, cost = list(range(len(points))), 0.0
+    else:
+        vectors = assemble_features(grid.coalesce(1), scores, "features")
+        model = fit_kmeans(vectors, k=k, max_iter=max_iter, seed=seed, weight="w")
+        centers = [[float(x) for x in center] for center in model.clusterCenters()]
+        labelled = model.transform(vectors).select(*scores, "prediction").collect()
+        cluster_of = {tuple(row)[:-1]: row.prediction for row in labelled}
+        clusters = [cluster_of[tuple(float(p[s]) for s in scores)] for p in points]
+        cost = model.summary.trainingCost
+    found = spark.createDataFrame(list(enumerate(centers)), "cluster int, center array<double>")
+    ranks = local_copy(rank_clusters(found))
+    rank_of = {row.cluster: row["rank"] for row in ranks.collect()}
+    # One row per point: at most GRID_POINTS rows of a few numbers each.
+    by_point = spark.createDataFrame(
+        [(*(float(p[s]) for s in scores), c, rank_of[c]) for p, c in zip(points, clusters)],
+        schema.replace("w double", "cluster int, rank int"),
     )
+    assigned = scored.join(F.broadcast(by_point), scores)
+    return Segmentation(assigned.select(*scored.columns, "cluster", "rank"), ranks, scores, cost)
