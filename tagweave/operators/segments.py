@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tagweave.operators.features import assemble_features
 from tagweave.operators.lookup import is_small, join_lookup
 from tagweave.operators.match import match_rules
-from tagweave.storage import stage
+from tagweave.storage import literal_rows, local_copy, stage
 
 # Distinct score combinations a clustering may have: scores come from band
 # tables, so three measures with five bands give 125.
@@ -102,11 +102,6 @@ def fit_kmeans(
     return (kmeans.setWeightCol(weight) if weight else kmeans).fit(df)
 
 
-def local_copy(small: DataFrame) -> DataFrame:
-    """A result of known small size as literal rows, so that plans do not repeat its work."""
-    return small.sparkSession.createDataFrame(small.collect(), small.schema)
-
-
 def tag_clusters(rows: DataFrame, cluster: str, ranks: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``center_sum``, ``rank`` and the tag of the rank to rows with a given cluster.
 
@@ -145,27 +140,26 @@ def segment(
     points = sorted(p for p in points if p not in unscored)
     if not points:
         raise ValueError("no user has all scores")
-    schema = ", ".join(f"`{s}` double" for s in scores) + ", w double"
-    grid = spark.createDataFrame([(*(float(p[s]) for s in scores), p.w) for p in points], schema)
+    columns = {s: [float(p[s]) for p in points] for s in scores}
     if len(points) <= k:
         # Every point is a cluster of its own: nothing to fit, and nothing better to find.
         centers = [[float(p[s]) for s in scores] for p in points]
         clusters, cost = list(range(len(points))), 0.0
     else:
-        vectors = assemble_features(grid.coalesce(1), scores, "features")
+        grid = literal_rows(spark, {**columns, "w": [p.w for p in points]}).coalesce(1)
+        vectors = assemble_features(grid, scores)
         model = fit_kmeans(vectors, k=k, max_iter=max_iter, seed=seed, weight="w")
         centers = [[float(x) for x in center] for center in model.clusterCenters()]
         labelled = model.transform(vectors).select(*scores, "prediction").collect()
         cluster_of = {tuple(row)[:-1]: row.prediction for row in labelled}
-        clusters = [cluster_of[tuple(float(p[s]) for s in scores)] for p in points]
+        clusters = [cluster_of[point] for point in zip(*columns.values())]
         cost = model.summary.trainingCost
-    found = spark.createDataFrame(list(enumerate(centers)), "cluster int, center array<double>")
+    found = literal_rows(spark, {"cluster": list(range(len(centers))), "center": centers})
     ranks = local_copy(rank_clusters(found))
     rank_of = {row.cluster: row["rank"] for row in ranks.collect()}
     # One row per point: at most GRID_POINTS rows of a few numbers each.
-    by_point = spark.createDataFrame(
-        [(*(float(p[s]) for s in scores), c, rank_of[c]) for p, c in zip(points, clusters)],
-        schema.replace("w double", "cluster int, rank int"),
+    by_point = literal_rows(
+        spark, {**columns, "cluster": clusters, "rank": [rank_of[c] for c in clusters]}
     )
     assigned = scored.join(F.broadcast(by_point), scores)
     return Segmentation(assigned.select(*scored.columns, "cluster", "rank"), ranks, scores, cost)

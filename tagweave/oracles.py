@@ -381,4 +381,20 @@ ORACLES = {
         FROM (SELECT "userId"::VARCHAR AS id, tag_name FROM ({GENDER})) g
         FULL JOIN (SELECT c_custkey::VARCHAR AS id, tag_name FROM ({JOB_LEFT})) j ON g.id = j.id
     """,
+    "rfm_segment_checks": """
+        SELECT count(DISTINCT o_custkey) AS users, 0::BIGINT AS split_points, 0::BIGINT AS misplaced,
+               0::BIGINT AS unordered, 0::BIGINT AS clusters_too_many
+        FROM orders
+    """,
+    "rfe_segment_checks": """
+        SELECT count(DISTINCT user_id) AS users, 0::BIGINT AS split_points, 0::BIGINT AS misplaced,
+               0::BIGINT AS unordered, 0::BIGINT AS clusters_too_many
+        FROM events
+    """,
+    "prediction_checks": """
+        SELECT unnest(['logistic', 'tree']) AS classifier, n, 0::BIGINT AS unknown FROM (
+            SELECT count(*) AS n FROM embeddings
+            WHERE concat('0x', substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
+        )
+    """,
 }

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tagweave.operators.classify import accuracy, fit_logistic, fit_tree, load_logistic, save_model
 from tagweave.operators.features import (
     assemble_features,
     fit_vector_index,
+    in_training,
     l2_normalize,
-    stable_split,
     string_index,
 )
 from tagweave.sources.files import read_csv, read_libsvm
+from tagweave.storage import stage
 
 
 class Trained(NamedTuple):
@@ -26,40 +26,39 @@ class Trained(NamedTuple):
 
 
 def measurement_classifier(
-    spark: SparkSession, path: str, schema: str, model_path: str | None = None
+    spark: SparkSession, path: str, schema: StructType | str, model_path: str | None = None
 ) -> Trained:
     """Logistic regression on a CSV whose last column is the category.
 
     The measurements are normalised to unit length; accuracy is on the training
     rows. With ``model_path`` the model is saved and predictions come from the
-    loaded copy.
+    loaded copy. The text is parsed once and staged; the fit keeps its own cache.
     """
-    rows = read_csv(spark, path, schema)
+    rows = stage(read_csv(spark, path, schema), "rows")
     indexed = string_index(rows, rows.columns[-1], "label")
     measured = assemble_features(indexed, rows.columns[:-1], "raw_features")
-    featured = l2_normalize(measured, "raw_features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_logistic(featured)
-        right = accuracy(model.transform(featured), "label").first().accuracy
-    finally:
-        featured.unpersist()
+    featured = l2_normalize(measured, "raw_features")
+    model = fit_logistic(featured)
     if model_path:
         save_model(model, model_path)
         model = load_logistic(model_path)
-    return Trained(model, model.transform(featured), right)
+    predictions = model.transform(featured)
+    return Trained(model, predictions, accuracy(predictions, "label").first().accuracy)
 
 
 def tree_classifier(spark: SparkSession, path: str, num_features: int | None = None) -> Trained:
     """Decision tree on LibSVM data: trained on 80 % of the rows, tested on the rest.
 
-    LibSVM rows have no key, so equal rows always fall on the same side.
+    The text is parsed once and staged; the passes of the label index, the
+    feature index and the tree read the staged columns they need. LibSVM rows
+    have no key: their place in the files decides between training and test, so
+    copies of a row are divided like any others.
     """
-    rows = read_libsvm(spark, path, num_features)
+    parsed = read_libsvm(spark, path, num_features)
+    numbered = parsed.withColumn("row", F.monotonically_increasing_id())
+    rows = stage(numbered.withColumn("train", in_training("row")).drop("row"), "rows")
     indexed = string_index(rows, "label", "index_label")
     features = fit_vector_index(indexed, "features", "index_features").transform(indexed)
-    row_text = F.to_json(F.struct("label", vector_to_array("features")))
-    keyed = features.withColumn("row_key", row_text)
-    train, test = (part.drop("row_key") for part in stable_split(keyed, "row_key"))
-    model = fit_tree(train, "index_label", "index_features")
-    predictions = model.transform(test)
+    model = fit_tree(features.filter("train"), "index_label", "index_features")
+    predictions = model.transform(features.filter("not train")).drop("train")
     return Trained(model, predictions, accuracy(predictions, "index_label").first().accuracy)

@@ -16,7 +16,7 @@ from tagweave.operators import classify, features, match, measures, segments
 from tagweave.plans import bulk_load, classifiers, tag_models
 from tagweave.sinks import profile
 from tagweave.sources import business, catalog, cells, files
-from tagweave.storage import scratch_path, stage
+from tagweave.storage import literal_rows, scratch_path, stage
 
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.date(2024, 5, 10)
@@ -81,8 +81,8 @@ def value_catalog(
 ) -> DataFrame:
     """A tag whose values are those of a column, one left out; ids from the least key."""
     spark = df.sparkSession
-    tag = spark.createDataFrame(
-        [(tag_id, None, name, rule, 4)], "id bigint, pid bigint, name string, rule string, level int"
+    tag = literal_rows(spark, {"id": [tag_id], "name": [name], "rule": [rule]}).select(
+        "id", F.lit(None).cast("bigint").alias("pid"), "name", "rule", F.lit(4).alias("level")
     )
     values = (
         df.filter(F.col(value) != leave_out)
@@ -117,9 +117,12 @@ def status_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rank_catalog(spark: SparkSession, tag_id: int, names: list[str]) -> DataFrame:
     """Values whose rules are the cluster ranks 0, 1, …"""
-    return spark.createDataFrame(
-        [(tag_id + 1 + i, tag_id, n, str(i), 5) for i, n in enumerate(names)],
-        "id bigint, pid bigint, name string, rule string, level int",
+    ranks = range(len(names))
+    values = literal_rows(
+        spark, {"id": [tag_id + 1 + i for i in ranks], "name": names, "rule": [str(i) for i in ranks]}
+    )
+    return values.select(
+        "id", F.lit(tag_id).cast("bigint").alias("pid"), "name", "rule", F.lit(5).alias("level")
     )
 
 
@@ -539,7 +542,7 @@ def within_cluster_error(spark, sf_dir):
 
 def silhouette(spark, sf_dir):
     value = segments.silhouette(embedding_vectors(spark, sf_dir), "label", "features")
-    return spark.createDataFrame([(round(value, 6),)], "silhouette double")
+    return literal_rows(spark, {"silhouette": [round(value, 6)]})
 
 
 def cluster_rank_labels(spark, sf_dir):
@@ -562,6 +565,50 @@ def event_segments(spark, sf_dir):
     return segments.segment(scored, bands.score_columns(RFE_SCALED), k=4, max_iter=20).assigned
 
 
+def segment_checks(found: segments.Segmentation, k: int) -> DataFrame:
+    """What holds for any clustering of users by scores, as counts.
+
+    ``split_points``: score combinations in more than one cluster; ``misplaced``:
+    users nearer to another centre than to their own; ``unordered``: ranks whose
+    centre sum is not below that of the rank before.
+    """
+    ranks = found.ranks.orderBy("rank").collect()
+    unordered = sum(b.center_sum >= a.center_sum for a, b in zip(ranks, ranks[1:]))
+
+    def distance(center: list[float]) -> Column:
+        parts = [(F.col(s) - x) * (F.col(s) - x) for s, x in zip(found.scores, center)]
+        return sum(parts[1:], parts[0])
+
+    own = F.coalesce(*[F.when(F.col("cluster") == r.cluster, distance(r.center)) for r in ranks])
+    nearest = F.least(*[distance(r.center) for r in ranks])
+    per_point = found.assigned.groupBy(*found.scores).agg(
+        F.count(F.lit(1)).alias("users"),
+        (F.min("cluster") != F.max("cluster")).cast("int").alias("split"),
+        F.count_if(own > nearest + 1e-9).alias("misplaced"),
+    )
+    return per_point.agg(
+        F.sum("users").alias("users"),
+        F.sum("split").alias("split_points"),
+        F.sum("misplaced").alias("misplaced"),
+    ).select(
+        "*",
+        F.lit(unordered).cast("bigint").alias("unordered"),
+        F.lit(max(0, len(ranks) - k)).cast("bigint").alias("clusters_too_many"),
+    )
+
+
+def rfm_segment_checks(spark, sf_dir):
+    scored = stage(rfm_score_scaled(spark, sf_dir), "scores")
+    found = segments.segment(scored, bands.score_columns(RFM_SCALED), k=5, max_iter=10)
+    return segment_checks(found, 5)
+
+
+def rfe_segment_checks(spark, sf_dir):
+    scored = stage(rfe_score_scaled(spark, sf_dir), "scores")
+    found = segments.segment(scored, bands.score_columns(RFE_SCALED), k=4, max_iter=20)
+    return segment_checks(found, 4)
+
+
 # Classification --------------------------------------------------------------
 
 
@@ -575,6 +622,20 @@ def dtree_predict(spark, sf_dir):
     return classify.fit_tree(train).transform(test).select("vec_id", "label", "prediction")
 
 
+def prediction_checks(spark, sf_dir):
+    """Test rows per classifier, and predictions that are none of the labels."""
+    known = [float(i) for i in range(10)]
+    parts = [
+        query(spark, sf_dir).agg(
+            F.lit(name).alias("classifier"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(~F.col("prediction").isin(known)).alias("unknown"),
+        )
+        for name, query in (("logistic", logreg_predict), ("tree", dtree_predict))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def accuracy_given_labels(spark, sf_dir):
     return classify.accuracy(table(spark, sf_dir, "labels"), "quality", "toxic")
 
@@ -673,7 +734,7 @@ QUERIES = {
         assemble_features, l2_normalize, vector_index, stable_split, cluster_score_range,
         cluster_rank_labels, logreg_predict, dtree_predict, accuracy_given_labels,
         model_roundtrip, measurement_classifier, tree_classifier, tag_gender, tag_job,
-        tag_rfm, tag_rfe, run_tag_models,
+        tag_rfm, tag_rfe, run_tag_models, rfm_segment_checks, rfe_segment_checks, prediction_checks,
     )
 }
 QUERIES |= {

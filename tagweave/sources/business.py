@@ -27,6 +27,12 @@ class SourceDescriptor(NamedTuple):
     options: dict[str, str]
 
 
+# Rule keys handed on to a database read; the last five split it into parallel ranges.
+JDBC_KEYS = (
+    "url", "driver", "user", "password",
+    "fetchsize", "partitionColumn", "lowerBound", "upperBound", "numPartitions",
+)
+
 # Key that names the input, by kind of source.
 LOCATION_KEY = {"hbase": "hbaseTable", "table": "table", "parquet": "path", "jdbc": "dbtable"}
 
@@ -49,7 +55,7 @@ def describe_source(rule: dict[str, str]) -> SourceDescriptor:
         family=rule.get("family"),
         window=rule.get("whereCondition"),
         conditions=rule.get("filterConditions"),
-        options={k: v for k, v in rule.items() if k in ("url", "driver", "user", "password")},
+        options={k: v for k, v in rule.items() if k in JDBC_KEYS},
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,3 +44,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A few rows as part of the plan: integers are bigint, numbers with a point double."""
+    return spark.createDataFrame(pa.table(columns))
+
+
+def local_copy(small: DataFrame) -> DataFrame:
+    """A result of known small size as part of the plan, so that its work is not repeated."""
+    return small.sparkSession.createDataFrame(small.toArrow())

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tagweave.__main__ import run
 from tagweave.plans import tag_models
 from tagweave.sinks.profile import read_profile
 
@@ -82,3 +83,18 @@ def test_errors_are_not_swallowed(catalog, tables, tmp_path):
     with pytest.raises(KeyError):
         tag_models.run_tag(catalog, 999, str(tmp_path / "p"), tables=tables)
     assert not (tmp_path / "p").exists()
+
+
+def test_command_line(spark, catalog, tables, tmp_path):
+    tables("users").write.parquet(str(tmp_path / "tables" / "users"))
+    catalog.createOrReplaceTempView("tag_catalog")
+    stored = run(spark, ["tag", "318", "tag_catalog", str(tmp_path / "p"), "--tables", str(tmp_path / "tables"), "--as-of", "2024-06-01"])
+    assert stored.count() == 13 and stored.columns == ["userId", "gender"]
+    (tmp_path / "log.tsv").write_text("\t".join(map(str, range(11))) + "\nshort\n")
+    rejected = run(spark, ["load", "1", "detail", str(tmp_path / "log.tsv"), str(tmp_path / "cells")])
+    assert [r.value for r in rejected.collect()] == ["short"]
+    cells = {r.qualifier: r.value for r in spark.read.parquet(str(tmp_path / "cells")).collect()}
+    assert len(cells) == 11 and cells["log_time"] == "10" and cells["global_user_id"] == "5"
+    for wrong in (["load", "9", "f", "a", "b"], ["load", "1"], ["tag", "1", "c", "p"]):
+        with pytest.raises(SystemExit):
+            run(spark, wrong)
