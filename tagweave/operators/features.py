@@ -29,7 +29,7 @@ def string_index(df: DataFrame, column: str, index: str, driver_labels: int = DR
     """Add the rank of each value by frequency as a double.
 
     A handful of labels becomes a label index that travels with the plan. More
-    than ``driver_labels`` are numbered in place and joined back.
+    than ``driver_labels`` are numbered where they are and joined back.
     """
     counts = label_counts(df, column)
     first = [row.value for row in counts.limit(driver_labels + 1).collect()]
@@ -43,7 +43,7 @@ def string_index(df: DataFrame, column: str, index: str, driver_labels: int = DR
         .toDF(f"_text string, `{index}` double")
     )
     value = F.col(column).cast("string")
-    joined = join_lookup(df, value, numbered, "_text", "left", small=False).drop("_text")
+    joined = join_lookup(df, value, numbered, "_text", "left", small=False, hot=first).drop("_text")
     unknown = F.raise_error(F.lit(f"null label in {column}")).cast("double")
     return joined.withColumn(index, F.coalesce(F.col(index), unknown))
 

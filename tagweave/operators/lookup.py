@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from tagweave.storage import literal_rows, local_copy
+
 # A lookup is sent to every executor only when it is no larger than this.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 * 1024 * 1024
-SALTS = 64
+# Values joined apart when the lookup is larger. Any other value has less than one row in HOT_VALUES.
+HOT_VALUES = 1_000
 
 
 def row_bytes(lookup: DataFrame) -> Column:
@@ -33,20 +36,40 @@ def is_small(lookup: DataFrame) -> bool:
     return fits_broadcast(found.n, found.size)
 
 
+def frequent_values(rows: DataFrame, value: Column) -> list[str]:
+    """The most frequent non-null values, counted before anything is moved."""
+    counts = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.filter(F.col("value").isNotNull()).orderBy(F.desc("n"), "value").limit(HOT_VALUES)
+    return [row.value for row in top.collect()]
+
+
 def join_lookup(
-    rows: DataFrame, value: Column, lookup: DataFrame, key: str, how: str, small: bool
+    rows: DataFrame,
+    value: Column,
+    lookup: DataFrame,
+    key: str,
+    how: str,
+    small: bool,
+    hot: list[str] | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` on ``value`` = ``key``.
+    """Inner or left join of ``rows`` to ``lookup``, which has one row per ``key``.
 
-    A small lookup is broadcast. Beyond that both sides are shuffled, with the
-    lookup copied once per salt: few values hold most rows, and each is spread
-    over that many partitions. The source partition is part of the salt, so equal
-    rows are spread too.
+    A small lookup is broadcast. A larger one is shuffled, but without the rows of
+    the ``hot`` values (the most frequent ones unless given) and without those
+    that have no value: they stay where they are and meet the few lookup rows
+    that concern them. What is left to shuffle has no value with many rows.
     """
     if small:
         return rows.join(F.broadcast(lookup), value == F.col(key), how)
-    spread = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
-    salted = rows.withColumn("_salt", spread)
-    copies = lookup.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = (value == F.col(key)) & (F.col("_salt") == F.col("_copy"))
-    return salted.join(copies, same, how).drop("_salt", "_copy")
+    hot = (frequent_values(rows, value) if hot is None else hot)[:HOT_VALUES]
+    if not hot:
+        return rows.join(lookup, value == F.col(key), how)
+    # HOT_VALUES rows at most on the broadcast sides.
+    kept = F.broadcast(literal_rows(rows.sparkSession, {"_hot": hot}))
+    concerned = local_copy(lookup.join(kept, F.col(key) == F.col("_hot"), "left_semi"))
+    staying = rows.join(kept, value == F.col("_hot"), "left")
+    staying = staying.filter(F.col("_hot").isNotNull() | value.isNull()).drop("_hot")
+    moving = rows.filter(value.isNotNull()).join(kept, value == F.col("_hot"), "left_anti")
+    return staying.join(F.broadcast(concerned), value == F.col(key), how).unionByName(
+        moving.join(lookup, value == F.col(key), how)
+    )

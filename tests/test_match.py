@@ -67,20 +67,32 @@ def test_plan_by_size(spark, users, rules, strategy, plan_of):
         plan = plan_of(match.match_rules(users, "gender", rules))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert ("BroadcastHashJoin" in plan) == (strategy == "broadcast")
     assert ("SortMergeJoin" in plan) == (strategy == "spread")
 
 
-def test_hot_value_is_spread(spark, monkeypatch):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_values_stay_and_the_rest_is_joined(spark, monkeypatch, how):
+    """A third of the rows has one value and a third none; neither goes through the shuffle."""
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "HOT_VALUES", 2)
     for key, value in (("autoBroadcastJoinThreshold", "-1"), ("adaptive.enabled", "false")):
         spark.conf.set(f"spark.sql.{key}", value)
     try:
-        rules = spark.createDataFrame([("1", 1, "x")], RULES)
-        users = spark.range(4000, numPartitions=8).select("id", F.lit("1").alias("v"))
-        found = match.match_rules(users, "v", rules).groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in found) == 4000
-        assert len(found) == 8 and max(r["count"] for r in found) < 1200
+        rules = spark.range(0, 400, 2).selectExpr("cast(id as string) rule", "id tag_id", "concat('t', id) tag_name")
+        users = spark.range(6000, numPartitions=8).selectExpr(
+            "id", "case id % 3 when 0 then '2' when 1 then cast(id % 400 as string) end v"
+        )
+        joined = match.match_rules(users, "v", rules, how)
+        found = {r.id: (r.v, r.tag_name) for r in joined.collect()}
+        expected = {}
+        for i in range(6000):
+            v = {0: "2", 1: str(i % 400), 2: None}[i % 3]
+            name = f"t{v}" if v and int(v) % 2 == 0 else None
+            if name or how == "left":
+                expected[i] = (v, name)
+        assert found == expected and joined.count() == len(expected)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 700
     finally:
         for key in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
             spark.conf.unset(f"spark.sql.{key}")
