@@ -24,14 +24,17 @@ def as_of_column(as_of: AsOf) -> Column:
     return F.lit(as_of)
 
 
-def now_text(as_of: AsOf = None, fmt: str = SHORT_FORMAT) -> Column:
-    return F.date_format(as_of_column(as_of), fmt)
-
-
 def date_text(value: Column, fmt: str = SHORT_FORMAT) -> Column:
+    """Moment as text. The short format is how a date prints, which needs no pattern."""
+    if fmt == SHORT_FORMAT:
+        return F.to_date(value).cast("string")
     return F.date_format(value, fmt)
 
 
+def now_text(as_of: AsOf = None, fmt: str = SHORT_FORMAT) -> Column:
+    return date_text(as_of_column(as_of), fmt)
+
+
 def parse_date(text: Column, fmt: str = SHORT_FORMAT, *, strict: bool = True) -> Column:
     """Text to timestamp by pattern; malformed text fails, or is null when not ``strict``."""
     parse = F.to_timestamp if strict else F.try_to_timestamp
@@ -44,20 +47,12 @@ def shift_date(text: Column, days: Column | int, fmt: str = SHORT_FORMAT) -> Col
     The time of day is kept when the format has one.
     """
     days = F.lit(days) if isinstance(days, int) else days
-    moment = F.to_timestamp(text, fmt)
     if fmt == SHORT_FORMAT:
-        return F.date_format(F.date_add(F.to_date(moment), days), fmt)
-    clock = moment.cast("timestamp_ntz") + F.make_dt_interval(days)
+        return F.date_add(text.cast("date"), days).cast("string")
+    clock = F.to_timestamp(text, fmt).cast("timestamp_ntz") + F.make_dt_interval(days)
     return F.date_format(clock, fmt)
 
 
-def day_of(column: Column, data_type: str) -> Column:
-    """Calendar day of a date, timestamp or date-text column; bad text is null."""
-    if data_type == "string":
-        return column.try_cast("date")
-    return F.to_date(column)
-
-
 def unix_moment(seconds: Column) -> Column:
     """Unix seconds to timestamp."""
     return F.timestamp_seconds(seconds)

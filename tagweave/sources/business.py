@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tagweave.functions.conditions import filter_by, filter_window
 from tagweave.sources.catalog import source_rule
 from tagweave.sources.cells import CELL_COLUMNS, cells_to_rows
+from tagweave.sources.layouts import text_schema
 
 TableResolver = Callable[[str], DataFrame]
 
@@ -85,7 +86,8 @@ def read_source(
         df = filter_window(df, source.window, as_of or dt.date.today())
     if source.conditions:
         df = filter_by(df, source.conditions)
-    return df.select(*[F.col(f).cast("string").alias(f) for f in source.fields])
+    declared = text_schema(source.fields)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
 
 
 def read_business(
