@@ -12,7 +12,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagweave.operators.lookup import join_lookup
+from tagweave.operators.lookup import join_lookup, number_rows
 from tagweave.storage import stage
 
 # Labels are held by the driver only up to this number; beyond it they stay distributed.
@@ -38,8 +38,10 @@ def string_index(df: DataFrame, column: str, index: str, driver_labels: int = DR
         model = StringIndexerModel.from_labels(first, inputCol="_text", outputCol=index)
         text = df.withColumn("_text", F.col(column).cast("string"))
         return model.transform(text).drop("_text")
-    ranked = counts.rdd.zipWithIndex().map(lambda pair: (pair[0].value, float(pair[1])))
-    numbered = stage(ranked.toDF(f"_text string, `{index}` double"), "labels")
+    places = number_rows(counts, "place")
+    numbered = stage(
+        places.select(F.col("value").alias("_text"), F.col("place").cast("double").alias(index)), "labels"
+    )
     value = F.col(column).cast("string")
     joined = join_lookup(df, value, numbered, "_text", "left", small=False, hot=first).drop("_text")
     unknown = F.raise_error(F.lit(f"null label in {column}")).cast("double")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tagweave.storage import literal_rows, local_copy
 
@@ -36,6 +36,13 @@ def is_small(lookup: DataFrame) -> bool:
     return fits_broadcast(found.n, found.size)
 
 
+def number_rows(ordered: DataFrame, name: str) -> DataFrame:
+    """Add the position of each row of a sorted frame, from 0, without bringing the rows together."""
+    schema = StructType([*ordered.schema.fields, StructField(name, LongType())])
+    pairs = ordered.rdd.zipWithIndex()
+    return ordered.sparkSession.createDataFrame(pairs.map(lambda p: (*p[0], p[1])), schema)
+
+
 def frequent_values(rows: DataFrame, value: Column) -> list[str]:
     """The most frequent non-null values, counted before anything is moved."""
     counts = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))

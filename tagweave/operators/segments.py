@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tagweave.operators.features import assemble_features
-from tagweave.operators.lookup import is_small, join_lookup
+from tagweave.operators.lookup import is_small, join_lookup, number_rows
 from tagweave.operators.match import match_rules
 from tagweave.storage import literal_rows, local_copy, stage
 
@@ -35,16 +35,19 @@ class Segmentation(NamedTuple):
         return silhouette(assemble_features(self.assigned, self.scores), "cluster", "features")
 
 
-def rank_clusters(centers: DataFrame) -> DataFrame:
+def rank_clusters(centers: DataFrame, small: bool = True) -> DataFrame:
     """Rank clusters by the sum of their centre, best first.
 
     ``centers`` has one row per cluster: ``cluster`` and the array ``center``.
-    Equal sums are ordered by the centre and then by the cluster.
+    Equal sums are ordered by the centre and then by the cluster. A ``small``
+    number of clusters is ranked in one window, any other by a distributed sort.
     """
     total = F.aggregate("center", F.lit(0.0), lambda acc, x: acc + x)
     summed = centers.select("cluster", "center", total.alias("center_sum"))
-    order = Window.orderBy(F.desc("center_sum"), F.desc("center"), "cluster")
-    return summed.withColumn("rank", F.row_number().over(order) - 1)
+    order = [F.desc("center_sum"), F.desc("center"), F.col("cluster")]
+    if small:
+        return summed.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1)
+    return number_rows(summed.orderBy(*order), "rank").withColumn("rank", F.col("rank").cast("int"))
 
 
 def name_ranks(ranks: DataFrame, rules: DataFrame) -> DataFrame:
@@ -102,14 +105,15 @@ def fit_kmeans(
     return (kmeans.setWeightCol(weight) if weight else kmeans).fit(df)
 
 
-def tag_clusters(rows: DataFrame, cluster: str, ranks: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``center_sum``, ``rank`` and the tag of the rank to rows with a given cluster.
+def tag_clusters(rows: DataFrame, cluster: str, features: str, rules: DataFrame) -> DataFrame:
+    """Rank the given clusters of ``rows`` and add ``center_sum``, ``rank`` and the tag of the rank.
 
-    There is one row per cluster on the other side; it is written out once, since
-    a centre costs a pass over the rows.
+    The centres cost a pass over the rows and are staged: one row per cluster.
     """
-    named = stage(name_ranks(ranks, rules).withColumnRenamed("cluster", "_cluster"), "ranks")
-    joined = join_lookup(rows, F.col(cluster), named, "_cluster", "inner", is_small(named))
+    centers = stage(cluster_centers(rows, cluster, features), "centers")
+    small = is_small(centers)
+    named = name_ranks(rank_clusters(centers, small), rules).withColumnRenamed("cluster", "_cluster")
+    joined = join_lookup(rows, F.col(cluster), named, "_cluster", "inner", small)
     return joined.select(*rows.columns, "center_sum", "rank", "tag_id", "tag_name")
 
 

@@ -548,9 +548,8 @@ def silhouette(spark, sf_dir):
 def cluster_rank_labels(spark, sf_dir):
     """Rows of ten given clusters by the rank of their cluster; nine ranks have a tag."""
     vectors = embedding_vectors(spark, sf_dir)
-    ranks = segments.rank_clusters(segments.cluster_centers(vectors, "label", "features"))
     names = catalog.value_rules(rank_catalog(spark, 500, [f"band {i}" for i in range(9)]))
-    return segments.tag_clusters(vectors, "label", ranks, names).select(
+    return segments.tag_clusters(vectors, "label", "features", names).select(
         "vec_id", "rank", "tag_name", F.round("center_sum", 6).alias("center_sum")
     )
 

@@ -91,6 +91,10 @@ def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
             fs.delete(file_system(spark, version.path(base))[1], True)
 
 
+def _table_name() -> str:
+    return f"spark_catalog.default.tagweave_{uuid.uuid4().hex}"
+
+
 def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
     """Scan of bucketed files that Spark knows to be bucketed.
 
@@ -99,7 +103,7 @@ def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> Da
     """
     fields = spark.read.parquet(path).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    name = f"tagweave_{uuid.uuid4().hex}"
+    name = _table_name()
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet "
         f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
@@ -111,7 +115,7 @@ def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> Da
 
 
 def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    name = f"tagweave_{uuid.uuid4().hex}"
+    name = _table_name()
     writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key)
     writer.option("path", path).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")

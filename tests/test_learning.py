@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tagweave.operators import classify, features, segments
+from tagweave.operators import classify, features, lookup, segments
 from tagweave.plans import classifiers
 
 SCORES = ["r_score", "f_score", "m_score"]
@@ -156,9 +156,12 @@ def test_scores_have_to_be_banded(spark, monkeypatch):
         segments.segment(varied(spark), SCORES, k=2, max_iter=10)
 
 
-def test_equal_sums_are_ordered_by_center(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_equal_sums_are_ordered_by_center(spark, small):
     centers = [(0, [1.0, 3.0]), (1, [3.0, 1.0]), (2, [3.0, 1.0]), (3, [9.0, 0.0])]
-    found = segments.rank_clusters(spark.createDataFrame(centers, "cluster int, center array<double>"))
+    frame = spark.createDataFrame(centers, "cluster int, center array<double>").repartition(3)
+    found = segments.rank_clusters(frame, small)
+    assert dict(found.dtypes)["rank"] == "int"
     assert {r.cluster: r["rank"] for r in found.collect()} == {3: 0, 1: 1, 2: 2, 0: 3}
 
 
@@ -169,6 +172,18 @@ def test_ranks_without_a_rule_have_no_tag(spark):
     assert found == {7: (362, "high"), 8: (None, None)}
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_given_clusters_are_ranked_and_tagged(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    rows = [(i, float(i % 3), Vectors.dense([float(i % 3), 1.0])) for i in range(30)]
+    rules = spark.createDataFrame([("0", 9, "top"), ("1", 8, "next")], "rule string, tag_id long, tag_name string")
+    df = spark.createDataFrame(rows, ["id", "label", "features"])
+    found = segments.tag_clusters(df, "label", "features", rules).collect()
+    assert {r.id: (r["rank"], r.tag_name, r.center_sum) for r in found} == {
+        i: {0: (2, None, 1.0), 1: (1, "next", 2.0), 2: (0, "top", 3.0)}[i % 3] for i in range(30)
+    }
+
+
 def test_kmeans_on_vectors(spark):
     rows = [(Vectors.dense([x + 0.1 * i, x]),) for x in (0.0, 10.0) for i in range(5)]
     df = spark.createDataFrame(rows, ["features"])
