@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagweave.operators.lookup import fits_broadcast, join_lookup, row_bytes
 
+
 def checked_rules(rules: DataFrame) -> tuple[DataFrame, bool]:
     """Rules that have a value, and whether they are small enough to broadcast.
 

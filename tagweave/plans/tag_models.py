@@ -49,16 +49,26 @@ def tag_job(business: DataFrame, tags: DataFrame, as_of=None) -> DataFrame:
 
 
 def tag_by_segment(
-    measured: DataFrame, tags: DataFrame, preset: Preset, *, k: int, max_iter: int, handle_invalid: str = "error"
+    measured: DataFrame,
+    tags: DataFrame,
+    preset: Preset,
+    *,
+    k: int,
+    max_iter: int,
+    handle_invalid: str = "error",
+    evaluate: bool = False,
 ) -> DataFrame:
     """Tag users by the rank of the cluster their scores fall into.
 
-    The scores are staged: one pass over the source serves the fit and the result.
+    The scores are staged: one pass over the source serves the fit, the result
+    and, with ``evaluate``, the silhouette in the log.
     """
     scores = score_columns(preset)
     scored = stage(add_scores(measured, preset), "scores")
     found = segment(scored, scores, k=k, max_iter=max_iter, handle_invalid=handle_invalid)
     log.info("%d clusters wanted, within-cluster squared error %f", k, found.cost)
+    if evaluate:
+        log.info("silhouette by squared Euclidean distance %s", found.silhouette())
     # One row per cluster, so at most k.
     named = name_ranks(found.ranks.select("rank"), value_rules(tags))
     return found.assigned.join(F.broadcast(named), "rank").select(*TAG_COLUMNS)
@@ -75,7 +85,9 @@ def tag_activity(
     business: DataFrame, tags: DataFrame, as_of=None, *, preset: Preset = RFE_DOCUMENTED, **columns
 ) -> DataFrame:
     """User activity in four segments."""
-    return tag_by_segment(rfe(business, as_of, **columns), tags, preset, k=4, max_iter=20)
+    return tag_by_segment(
+        rfe(business, as_of, **columns), tags, preset, k=4, max_iter=20, evaluate=True
+    )
 
 
 class TagModel(NamedTuple):

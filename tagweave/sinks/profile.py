@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tagweave.storage import file_system
+from tagweave.storage import absolute, file_system
 
 VERSION = re.compile(r"^v(\d+)-buckets(\d+)$")
 
@@ -103,10 +103,10 @@ def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> Da
     """
     fields = spark.read.parquet(path).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    name = _table_name()
+    name, location = _table_name(), absolute(spark, path).replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet "
-        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
     )
     try:
         return spark.table(name)
@@ -117,7 +117,7 @@ def _bucketed_scan(spark: SparkSession, path: str, key: str, buckets: int) -> Da
 def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     name = _table_name()
     writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.option("path", path).saveAsTable(name)
+    writer.option("path", absolute(df.sparkSession, path)).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")
 
 

@@ -29,6 +29,12 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def absolute(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system and full folder, whatever a table location would make of it."""
+    fs, hadoop_path = file_system(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch root, removed when the driver exits."""
     parent = f"{scratch_root(spark)}/tagweave-{uuid.uuid4().hex}"
