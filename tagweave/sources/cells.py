@@ -25,6 +25,7 @@ def cells_to_rows(
 ) -> DataFrame:
     """One row per row key with the listed fields as text; a missing cell is null.
 
+    A row key without any of the fields gives no row, as in a scan of those columns.
     Of several cells for one field the one with the highest ``version`` counts,
     without versions the greatest value. Cells of a key are folded where they
     are read, before the one shuffle on the key.
