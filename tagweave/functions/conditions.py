@@ -112,16 +112,28 @@ def window_text(window: Window) -> str:
     return f"{window.field}[GE]{window.first},{window.field}[LE]{window.last}"
 
 
+def may_be_in_years(text: Column, first: int, last: int) -> Column:
+    """Whether date text can be in a range of years, by comparing text with constants.
+
+    Date text starts with its year; what is put before a year (blanks, a sign,
+    zeros) sorts below '1'. True for every date in the range, and for some others.
+    """
+    return ((text >= F.lit(str(first))) & (text < F.lit(str(last + 1)))) | (text < F.lit("1"))
+
+
 def filter_window(df: DataFrame, text: str, as_of: dt.date) -> DataFrame:
     """Rows whose day falls into the relative window.
 
-    Timestamps are compared with constants and so pushed to the scan; text has
-    to be read as a date first.
+    Timestamps are compared with constants and so pushed to the scan. Text has
+    to be read as a date; only the years of the window are pushed for it.
     """
     window = parse_window(text, as_of)
     column = F.col(window.field)
     data_type = df.schema[window.field].dataType
     if isinstance(data_type, StringType):
+        years = window.first.year, window.last.year
+        if years[0] >= 1000 and years[1] < 9999:
+            df = df.filter(may_be_in_years(column, *years))
         return df.filter(column.try_cast("date").between(F.lit(window.first), F.lit(window.last)))
     if isinstance(data_type, DateType):
         return df.filter(column.between(F.lit(window.first), F.lit(window.last)))

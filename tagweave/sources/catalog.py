@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagweave.functions.rules import rule_map
 
+# Name and columns of the catalogue table in a database.
+CATALOG_TABLE = "tbl_basic_tag"
 CATALOG_COLUMNS = ["id", "name", "rule", "level"]
 
 
@@ -19,7 +21,7 @@ def tag_subtree(catalog: DataFrame, tag_id: int) -> DataFrame:
     return catalog.filter(mine).select(*CATALOG_COLUMNS).distinct().orderBy("level", "id")
 
 
-def subtree_query(tag_id: int, table: str = "tbl_basic_tag") -> str:
+def subtree_query(tag_id: int, table: str = CATALOG_TABLE) -> str:
     """The same subtree as a derived table a database can evaluate."""
     columns = ", ".join(CATALOG_COLUMNS)
     tag = int(tag_id)
@@ -27,7 +29,7 @@ def subtree_query(tag_id: int, table: str = "tbl_basic_tag") -> str:
 
 
 def read_catalog_jdbc(
-    spark: SparkSession, url: str, tag_id: int, table: str = "tbl_basic_tag", **properties: str
+    spark: SparkSession, url: str, tag_id: int, table: str = CATALOG_TABLE, **properties: str
 ) -> DataFrame:
     """The subtree of a tag, read from a database table."""
     found = spark.read.jdbc(url, subtree_query(tag_id, table), properties=properties)

@@ -93,6 +93,22 @@ def test_filter_window_keeps_the_whole_last_day(spark, kind):
     assert sorted(r.text for r in kept.collect()) == texts[1:3]
 
 
+def test_text_windows_push_their_years_and_lose_nothing(spark, tmp_path, plan_of):
+    days = [dt.date(2022, 12, 30) + dt.timedelta(days=i) for i in range(0, 800, 3)]
+    forms = ["{0}", " {0}", "+{0}", "00{0}", "{0} 23:59:59", "{0}T01:02:03", "{1}-{2}-{3}", "{1}-{2}", "{1}", "x{0}", "9{0}"]
+    texts = [f.format(d, d.year, d.month, d.day) for d in days for f in forms] + ["", "soon", "99"]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(t,) for t in texts], "m string").write.parquet(path)
+    df = spark.read.parquet(path)
+    kept = conditions.filter_window(df, "m#day#40", dt.date(2024, 2, 1))
+    window = conditions.parse_window("m#day#40", dt.date(2024, 2, 1))
+    plain = df.filter(F.col("m").try_cast("date").between(F.lit(window.first), F.lit(window.last)))
+    assert sorted(r.m for r in kept.collect()) == sorted(r.m for r in plain.collect())
+    assert {len(r.m) for r in kept.collect()} >= {4, 8, 10, 11, 12, 19}
+    (pushed,) = [line for line in plan_of(kept).splitlines() if line.startswith("PushedFilters")]
+    assert "GreaterThanOrEqual(m,2023)" in pushed and "LessThan(m,2025)" in pushed
+
+
 def test_filters_reach_the_scan(spark, tmp_path, plan_of):
     path = str(tmp_path / "t")
     spark.range(3).select("id", F.current_timestamp().cast("timestamp_ntz").alias("at")).write.parquet(path)
