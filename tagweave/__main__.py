@@ -1,4 +1,4 @@
-"""Jobs to submit: ``spark-submit … -m tagweave load|tag`` (see ``--help``)."""
+"""Jobs to submit: ``spark-submit tagweave/__main__.py load|tag …`` (see ``--help``)."""
 
 from __future__ import annotations
 
