@@ -43,4 +43,5 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame:
 
 
 if __name__ == "__main__":
+    parser().parse_args()  # usage errors come before a session is started
     run(SparkSession.builder.appName("tagweave").getOrCreate())
