@@ -59,6 +59,15 @@ def test_describe_source():
             business.describe_source({k: v for k, v in rule.items() if k != key})
 
 
+def test_database_source_can_be_read_in_ranges():
+    rule = {
+        "inType": "jdbc", "dbtable": "t", "selectFieldNames": "a", "url": "jdbc:x", "zkHosts": "h",
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4",
+    }
+    found = business.describe_source(rule)
+    assert found.options == {k: rule[k] for k in rule if k not in ("inType", "dbtable", "selectFieldNames", "zkHosts")}
+
+
 def test_business_rows_are_text(spark, tags):
     users = spark.createDataFrame([(1, 2, "x"), (2, None, "y")], "id int, gender int, other string")
     found = business.read_business(spark, tags, tables={"users": users}.__getitem__)
