@@ -6,6 +6,8 @@ not a second pass over the source.
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -13,13 +15,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tagweave-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``; one temporary folder per driver where it is unset.
+
+    The temporary folder is for tests on one machine only: any other master, and a
+    cluster of processes on one machine, has to name a shared folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tagweave-")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return own_folder()
     raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
 
 
@@ -52,6 +63,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*staged: DataFrame) -> None:
+    """Delete what ``stage`` wrote for these frames, once nothing reads it any more."""
+    for df in staged:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/tagweave-" in folder:
+                fs, path = file_system(spark, folder)
+                fs.delete(path, True)
+
+
 def literal_rows(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A few rows as part of the plan: integers are bigint, numbers with a point double."""
     return spark.createDataFrame(pa.table(columns))
