@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, urls, warc
+from tagweave.llm import exact, mixing, packing, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
 
+def op1_mixing(spark, sf_dir):
+    mix = mixing.mix(table(spark, sf_dir, "documents"))
+    return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact.duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op9_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -25,9 +36,55 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op6_packing, op9_warc, op10_url_filters)}
 
 ORACLES = {
+    "op1_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS dealt
+            FROM documents),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM d GROUP BY source),
+        w AS (SELECT *, no % 3 + 1 AS weight, sum(source_size) OVER () AS total FROM s),
+        c AS (
+            SELECT *, coalesce(sum(3 * source_size) OVER before, 0)::BIGINT AS full_before,
+                   (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::BIGINT AS weights_left
+            FROM w WINDOW before AS (ORDER BY source_size / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        u AS (SELECT max((total - full_before)::DOUBLE / weights_left) AS unit FROM c),
+        t AS (
+            SELECT source, no, source_size, total,
+                   CASE WHEN 3 * source_size < unit * weight THEN (3 * source_size)::DOUBLE ELSE unit * weight END AS target
+            FROM w, u),
+        q AS (
+            SELECT no, target / (2 * k + 1) AS quotient, total,
+                   row_number() OVER (ORDER BY target / (2 * k + 1) DESC, no, k) AS place
+            FROM t, LATERAL (SELECT unnest(range(0, round(total / 64)::BIGINT + 1)) AS k) WHERE target > 0),
+        seats AS (SELECT no, count(*) AS seats FROM q WHERE place <= round(total / 64) GROUP BY no),
+        n AS (
+            SELECT d.*, t.no, t.source_size, t.target, coalesce(seats, 0) AS seats,
+                   ('0x' || substr(dealt, 1, 8))::BIGINT % greatest(1, ceil(t.source_size / 1048576))::BIGINT AS shard
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN seats USING (no)),
+        units AS (
+            SELECT no, shard, any_value(seats) AS seats, sum(size)::BIGINT AS words FROM n WHERE size > 0 GROUP BY no, shard),
+        uq AS (
+            SELECT no, shard, seats, row_number() OVER (PARTITION BY no ORDER BY words / (2 * k + 1) DESC, shard, k) AS place
+            FROM units, LATERAL (SELECT unnest(range(0, seats)) AS k)),
+        quotas AS (SELECT no, shard, count(*) AS quota FROM uq WHERE place <= seats GROUP BY no, shard),
+        b AS (
+            SELECT no, shard, ceil(words / 64)::BIGINT AS blocks,
+                   least(coalesce(quota, 0), 3 * ceil(words / 64)::BIGINT) AS quota
+            FROM units LEFT JOIN quotas USING (no, shard)),
+        streamed AS (
+            SELECT *, coalesce(sum(size) OVER (PARTITION BY no, shard ORDER BY dealt, doc_id, size
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+            FROM n)
+        SELECT doc_id, size, source_size, target,
+               CASE WHEN size = 0 THEN 0
+                    ELSE quota // blocks * size + greatest(0, least(size, quota % blocks * 64 - start)) END::BIGINT AS taken
+        FROM streamed LEFT JOIN b USING (no, shard)
+    """,
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
