@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, mixing, packing, urls, warc
+from tagweave.llm import exact, mixing, packing, repeats, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -19,6 +19,12 @@ def op2_exact_dedup(spark, sf_dir):
     return exact.duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
@@ -36,7 +42,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op6_packing, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_suffix_dedup, op6_packing, op9_warc, op10_url_filters)}
 
 ORACLES = {
     "op1_mixing": r"""
