@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, mixing, packing, repeats, urls, warc
+from tagweave.llm import exact, mixing, neardup, packing, repeats, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -30,6 +30,12 @@ def op6_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
 
 
+def op7_minhash(spark, sf_dir):
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
+    kept = (F.col("id") == F.col("component_id")).alias("kept")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept)
+
+
 def op9_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -42,7 +48,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_suffix_dedup, op6_packing, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_suffix_dedup, op6_packing, op7_minhash, op9_warc, op10_url_filters)}
 
 ORACLES = {
     "op1_mixing": r"""
@@ -96,6 +102,30 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT doc_id, unnest(CASE WHEN len(words) < 2 THEN words
+                ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END) AS shingle
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * shared >= 80 * (x.n_shingles + y.n_shingles - shared)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS root FROM w
+            UNION SELECT edges.b, reach.root FROM reach JOIN edges ON reach.node = edges.a)
+        SELECT w.doc_id, coalesce(n_shingles, 0) AS n_shingles, min(root) AS component_id, w.doc_id = min(root) AS kept
+        FROM w LEFT JOIN n USING (doc_id) JOIN reach ON node = w.doc_id GROUP BY w.doc_id, n_shingles
+    """,
     "op9_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,
