@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, mixing, neardup, packing, repeats, urls, warc
+from tagweave.llm import exact, mixing, neardup, packing, repeats, toxicity, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -19,6 +19,15 @@ def op2_exact_dedup(spark, sf_dir):
     return exact.duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    weights = toxicity.learn(docs.filter(~held_out), labels)
+    scored = toxicity.score(docs, weights).withColumnRenamed("id", "doc_id")
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, "offending")
+
+
 def op4_suffix_dedup(spark, sf_dir):
     rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
@@ -48,7 +57,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_suffix_dedup, op6_packing, op7_minhash, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op6_packing, op7_minhash, op9_warc, op10_url_filters)}
 
 ORACLES = {
     "op1_mixing": r"""
