@@ -35,7 +35,7 @@ from tagweave.storage import stage
 END_ID = 1
 LENGTH = 2048
 #: Words kept with their ids in each Python worker, and the longest such word.
-CACHE_WORDS, CACHE_CHARS = 200_000, 64
+CACHE_WORDS, CACHE_CHARS = 600_000, 64
 
 
 @functools.cache
@@ -48,27 +48,49 @@ def tokenizer(path: str):
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers, each different word tokenized once.
 
-    The tokenizer drops white space and lets no token reach across it, so the ids
-    of a text are those of its parts between spaces.
+    The tokenizer drops white space and lets no token reach across it, nor from
+    letters into a comma or full stop, so the ids of a text are those of its parts.
+    Parts not met before are tokenized many at a time.
     """
 
     def __init__(self, path: str):
         self.encode, self.known = tokenizer(path).encode, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHE_CHARS:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            self.known[word] = ids
+    def of(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known, words = self.known, [text.split(" ") for text in texts]
+        new = {word: self.atoms(word) for word in set().union(*words).difference(known)}
+        self.tokenize(list({atom for atoms in new.values() for atom in atoms}.difference(known)))
+        for word, atoms in new.items():
+            known[word] = b"".join([known[atom] for atom in atoms])
+        ids = [b"".join([known[word] for word in of]) for of in words]
+        for word in [word for word in new if len(word) > CACHE_CHARS]:
+            for part in {word, *new[word]}:
+                known.pop(part, None)
         return ids
 
-    def of(self, text: str) -> bytes:
-        known, found = self.known, []
-        for word in text.split(" "):
-            ids = known.get(word)
-            found.append(self.__missing__(word) if ids is None else ids)
-        return b"".join(found)
+    @staticmethod
+    def atoms(word: str) -> list[str]:
+        parts = []
+        for line in word.split("\n"):
+            # U+0130 in lower case ends with a mark that a full stop would join.
+            if line[-1:] in (",", ".") and line[:-1].isalpha() and "\u0130" not in line:
+                parts += [line[:-1], line[-1]]
+            else:
+                parts.append(line)
+        return parts
+
+    def tokenize(self, atoms: list[str]) -> None:
+        for at in range(0, len(atoms), 256):
+            some = atoms[at : at + 256]
+            found = self.encode(" ".join(some), add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4")
+            starts = np.cumsum([0] + [len(atom) + 1 for atom in some])
+            cuts = 4 * np.searchsorted(np.fromiter((o[0] for o in found.offsets), np.int64, len(ids)), starts)
+            joined = ids.tobytes()
+            for atom, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                self.known[atom] = joined[a:b]
 
 
 @functools.cache
@@ -76,6 +98,19 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def groups(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+    """The texts in order, some at a time: about ``chars`` characters, or one longer text."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def cut(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_ids: bool = False) -> DataFrame:
     """Pieces of each document: ``id, start, length, ids_crc32, doc_tokens`` and, if asked for, ``ids``."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -86,8 +121,9 @@ def cut(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
         ids_of, size = word_ids(path).of, 4 * length
         for batch in batches:
             where, starts, lengths, sums, totals, parts = [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1)):
-                ids = ids_of(text.as_py()) + end
+            texts = batch.column(1)
+            for row, body in enumerate(body for some in groups(texts) for body in ids_of(some)):
+                ids = body + end
                 for at in range(0, len(ids), size):
                     part = ids[at : at + size]
                     where.append(row)
