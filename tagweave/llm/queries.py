@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, mixing, neardup, packing, repeats, toxicity, urls, warc
+from tagweave.llm import exact, html_text, mixing, neardup, packing, repeats, toxicity, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -45,6 +45,11 @@ def op7_minhash(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept)
 
 
+def op8_html_text(spark, sf_dir):
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -57,7 +62,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op6_packing, op7_minhash, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op6_packing, op7_minhash, op8_html_text, op9_warc, op10_url_filters)}
 
 ORACLES = {
     "op1_mixing": r"""
