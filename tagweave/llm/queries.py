@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, html_text, mixing, neardup, packing, repeats, toxicity, urls, warc
+from tagweave.llm import exact, fingerprint, html_text, mixing, neardup, packing, repeats, toxicity, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -34,6 +34,10 @@ def op4_suffix_dedup(spark, sf_dir):
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_fingerprint(spark, sf_dir):
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
@@ -62,7 +66,7 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op6_packing, op7_minhash, op8_html_text, op9_warc, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op5_fingerprint, op6_packing, op7_minhash, op8_html_text, op9_warc, op10_url_filters)}
 
 ORACLES = {
     "op1_mixing": r"""
