@@ -20,7 +20,8 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("data_type", type=int, choices=sorted(LAYOUTS), help="1 log, 2 goods, 3 user, 4 order")
     load.add_argument("family")
     load.add_argument("source", help="folder of text files")
-    load.add_argument("target", help="folder of the cell table, replaced")
+    load.add_argument("target", help="folder of the cell table, added to")
+    load.add_argument("--replace", action="store_true", help="remove the earlier loads once this one is there")
 
     tag = jobs.add_parser("tag", help="compute one tag and put it into the profile")
     tag.add_argument("tag_id", type=int, choices=sorted(TAG_MODELS))
@@ -35,7 +36,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame:
     """Run one job; the result is the stored profile or the rejected lines."""
     args = parser().parse_args(arguments)
     if args.job == "load":
-        return bulk_load(spark, args.data_type, args.family, args.source, args.target)
+        return bulk_load(spark, args.data_type, args.family, args.source, args.target, replace=args.replace)
     tables = (lambda name: spark.read.parquet(f"{args.tables}/{name}")) if args.tables else None
     return run_tag(
         spark.table(args.catalog), args.tag_id, args.profile, as_of=args.as_of, tables=tables

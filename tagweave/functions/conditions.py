@@ -24,6 +24,7 @@ UNIT_DAYS = {"day": 1, "month": 30, "year": 365}
 
 CONDITION_TEXT = re.compile(r"^([^\[]*)\[([^\]]*)\](.*)$")
 DATE_ONLY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+NUMBER = re.compile(r"^[+-]?\d+(\.\d+)?$")
 
 
 class Condition(NamedTuple):
@@ -70,9 +71,17 @@ def condition_column(condition: Condition, data_type: DataType) -> Column:
 
     The value is cast to the column's type, never the other way round, so the
     comparison reaches the file scan. A bare date against a timestamp means the
-    whole day.
+    whole day. Text is compared with a number as a number and with a bare date by
+    its day; text that is neither does not fit such a condition.
     """
     column = F.col(condition.field)
+    if isinstance(data_type, StringType):
+        if NUMBER.match(condition.value):
+            wide = "decimal(38,10)"
+            return COMPARISONS[condition.compare](column.try_cast(wide), F.lit(condition.value).cast(wide))
+        if DATE_ONLY.match(condition.value):
+            day = F.lit(dt.date.fromisoformat(condition.value))
+            return COMPARISONS[condition.compare](column.try_cast("date"), day)
     is_moment = isinstance(data_type, (TimestampType, TimestampNTZType))
     if is_moment and DATE_ONLY.match(condition.value):
         day = dt.date.fromisoformat(condition.value)

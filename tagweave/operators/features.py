@@ -4,46 +4,32 @@ from __future__ import annotations
 
 from pyspark.ml.feature import (
     Normalizer,
-    StringIndexerModel,
     VectorAssembler,
     VectorIndexer,
     VectorIndexerModel,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
-
-from tagweave.operators.lookup import join_lookup, number_rows
-from tagweave.storage import stage
-
-# Labels are held by the driver only up to this number; beyond it they stay distributed.
-DRIVER_LABELS = 10_000
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tagweave.operators.lookup import is_small, join_lookup
+from tagweave.operators.numbering import number_rows
 
 def label_counts(df: DataFrame, column: str) -> DataFrame:
-    """Values of a column as text, most frequent first, equal counts by value."""
+    """Values of a column as text with their number of rows."""
     value = F.col(column).cast("string").alias("value")
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("value").isNotNull()).orderBy(F.desc("n"), "value")
+    return df.groupBy(value).agg(F.count(F.lit(1)).alias("n")).filter(F.col("value").isNotNull())
 
 
-def string_index(df: DataFrame, column: str, index: str, driver_labels: int = DRIVER_LABELS) -> DataFrame:
-    """Add the rank of each value by frequency as a double.
+def string_index(df: DataFrame, column: str, index: str) -> DataFrame:
+    """Add the rank of each value by frequency as a double, equal counts by value.
 
-    A handful of labels becomes a label index that travels with the plan. More
-    than ``driver_labels`` are numbered where they are and joined back.
+    The values are counted and numbered where they are, and joined back. A null
+    value is an error.
     """
-    counts = label_counts(df, column)
-    first = [row.value for row in counts.limit(driver_labels + 1).collect()]
-    if len(first) <= driver_labels:
-        model = StringIndexerModel.from_labels(first, inputCol="_text", outputCol=index)
-        text = df.withColumn("_text", F.col(column).cast("string"))
-        return model.transform(text).drop("_text")
-    places = number_rows(counts, "place")
-    numbered = stage(
-        places.select(F.col("value").alias("_text"), F.col("place").cast("double").alias(index)), "labels"
-    )
+    places = number_rows(label_counts(df, column), "place", F.desc("n"), "value")
+    numbered = places.select(F.col("value").alias("_text"), F.col("place").cast("double").alias(index))
     value = F.col(column).cast("string")
-    joined = join_lookup(df, value, numbered, "_text", "left", small=False, hot=first).drop("_text")
+    joined = join_lookup(df, value, numbered, "_text", "left", is_small(numbered)).drop("_text")
     unknown = F.raise_error(F.lit(f"null label in {column}")).cast("double")
     return joined.withColumn(index, F.coalesce(F.col(index), unknown))
 
@@ -79,6 +65,17 @@ def in_training(key: str, fraction: float = 0.8) -> Column:
     return F.conv(head, 16, 10).cast("bigint") < int(fraction * 2**32)
 
 
+def numbered_copies(df: DataFrame, columns: list[str], key: str, copy: str) -> DataFrame:
+    """Add a digest of each row's content in ``columns`` and the number of the copy among equal rows, from 1.
+
+    The pairs are the same however the rows are partitioned: equal rows cannot be
+    told apart, so it does not matter which of them has which number.
+    """
+    content = F.md5(F.to_json(F.struct(*columns)))
+    marked = df.withColumn(key, content)
+    return marked.withColumn(copy, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+
+
 def stable_split(df: DataFrame, key: str, fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Training and test rows."""
     inside = in_training(key, fraction)

@@ -11,13 +11,16 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tagweave.operators.features import assemble_features
-from tagweave.operators.lookup import is_small, join_lookup, number_rows
+from tagweave.operators.lookup import is_small, join_lookup
+from tagweave.operators.numbering import number_rows
 from tagweave.operators.match import match_rules
 from tagweave.storage import literal_rows, local_copy, stage
 
-# Distinct score combinations a clustering may have: scores come from band
-# tables, so three measures with five bands give 125.
-GRID_POINTS = 20_000
+# Partitions of the distinct score combinations, whatever those of the users: the
+# fit sees the same points in the same order.
+POINT_PARTITIONS = 16
+# Starts of a clustering; the one with the least cost counts.
+SEEDS = (42, 43, 44)
 
 
 class Segmentation(NamedTuple):
@@ -35,19 +38,16 @@ class Segmentation(NamedTuple):
         return silhouette(assemble_features(self.assigned, self.scores), "cluster", "features")
 
 
-def rank_clusters(centers: DataFrame, small: bool = True) -> DataFrame:
+def rank_clusters(centers: DataFrame) -> DataFrame:
     """Rank clusters by the sum of their centre, best first.
 
     ``centers`` has one row per cluster: ``cluster`` and the array ``center``.
-    Equal sums are ordered by the centre and then by the cluster. A ``small``
-    number of clusters is ranked in one window, any other by a distributed sort.
+    Equal sums are ordered by the centre and then by the cluster.
     """
     total = F.aggregate("center", F.lit(0.0), lambda acc, x: acc + x)
     summed = centers.select("cluster", "center", total.alias("center_sum"))
-    order = [F.desc("center_sum"), F.desc("center"), F.col("cluster")]
-    if small:
-        return summed.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1)
-    return number_rows(summed.orderBy(*order), "rank").withColumn("rank", F.col("rank").cast("int"))
+    ranked = number_rows(summed, "rank", F.desc("center_sum"), F.desc("center"), "cluster")
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def name_ranks(ranks: DataFrame, rules: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def tag_clusters(rows: DataFrame, cluster: str, features: str, rules: DataFrame)
     """
     centers = stage(cluster_centers(rows, cluster, features), "centers")
     small = is_small(centers)
-    named = name_ranks(rank_clusters(centers, small), rules).withColumnRenamed("cluster", "_cluster")
+    named = name_ranks(rank_clusters(centers), rules).withColumnRenamed("cluster", "_cluster")
     joined = join_lookup(rows, F.col(cluster), named, "_cluster", "inner", small)
     return joined.select(*rows.columns, "center_sum", "rank", "tag_id", "tag_name")
 
@@ -123,47 +123,47 @@ def segment(
     *,
     k: int,
     max_iter: int,
-    seed: int = 42,
+    seed: int | None = None,
+    seeds: tuple[int, ...] = SEEDS,
     handle_invalid: str = "error",
 ) -> Segmentation:
     """Cluster users by their scores and rank the clusters.
 
     Users with equal scores are one weighted point, which leaves the objective as
-    it is: the distributed work is a count per score combination, and the fit
-    sees the same few sorted points however the users are partitioned. ``scored``
-    is read twice, for the count and for the result, so stage it first.
+    it is. The points are counted, dealt to a fixed number of partitions by their
+    scores and sorted there, so that the fit does not depend on how the users are
+    partitioned, and there may be any number of them. Of several starts the one
+    with the least cost counts; users get their cluster from the model itself.
+    ``scored`` is read twice, for the count and for the result, so stage it first.
     """
-    spark = scored.sparkSession
     counted = scored.groupBy(*scores).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    points = counted.take(GRID_POINTS + 1)
-    if len(points) > GRID_POINTS:
-        raise ValueError("the scores are not banded: use fit_kmeans on a feature column")
-    unscored = [p for p in points if any(p[s] is None for s in scores)]
+    lacking = F.lit(False)
+    for name in scores:
+        lacking = lacking | F.col(name).isNull()
+    unscored = counted.filter(lacking).agg(F.sum("w")).first()[0]
     if unscored and handle_invalid != "skip":
-        raise ValueError(f"{int(sum(p.w for p in unscored))} users lack a score")
-    points = sorted(p for p in points if p not in unscored)
-    if not points:
+        raise ValueError(f"{int(unscored)} users lack a score")
+    points = stage(counted.filter(~lacking), "points")
+    points = points.repartition(POINT_PARTITIONS, *scores).sortWithinPartitions(*scores)
+    # Up to k points are clusters of their own: nothing to fit, and nothing better to find.
+    first = points.select(*scores).limit(k + 1).collect()
+    if not first:
         raise ValueError("no user has all scores")
-    columns = {s: [float(p[s]) for p in points] for s in scores}
-    if len(points) <= k:
-        # Every point is a cluster of its own: nothing to fit, and nothing better to find.
-        centers = [[float(p[s]) for s in scores] for p in points]
-        clusters, cost = list(range(len(points))), 0.0
+    users = scored.filter(~lacking)
+    if len(first) <= k:
+        centers, cost = sorted([float(x) for x in row] for row in first), 0.0
+        own = {**{s: [c[i] for c in centers] for i, s in enumerate(scores)}, "cluster": list(range(len(centers)))}
+        assigned = users.join(F.broadcast(literal_rows(scored.sparkSession, own)), scores)
     else:
-        grid = literal_rows(spark, {**columns, "w": [p.w for p in points]}).coalesce(1)
-        vectors = assemble_features(grid, scores)
-        model = fit_kmeans(vectors, k=k, max_iter=max_iter, seed=seed, weight="w")
-        centers = [[float(x) for x in center] for center in model.clusterCenters()]
-        labelled = model.transform(vectors).select(*scores, "prediction").collect()
-        cluster_of = {tuple(row)[:-1]: row.prediction for row in labelled}
-        clusters = [cluster_of[point] for point in zip(*columns.values())]
-        cost = model.summary.trainingCost
-    found = literal_rows(spark, {"cluster": list(range(len(centers))), "center": centers})
+        vectors = assemble_features(points, scores)
+        starts = seeds if seed is None else (seed,)
+        fits = [fit_kmeans(vectors, k=k, max_iter=max_iter, seed=start, weight="w") for start in starts]
+        model = min(fits, key=lambda m: m.summary.trainingCost)
+        centers, cost = [[float(x) for x in center] for center in model.clusterCenters()], model.summary.trainingCost
+        model.setFeaturesCol("_features").setPredictionCol("cluster")
+        assigned = model.transform(assemble_features(users, scores, "_features"))
+    found = literal_rows(scored.sparkSession, {"cluster": list(range(len(centers))), "center": centers})
     ranks = local_copy(rank_clusters(found))
-    rank_of = {row.cluster: row["rank"] for row in ranks.collect()}
-    # One row per point: at most GRID_POINTS rows of a few numbers each.
-    by_point = literal_rows(
-        spark, {**columns, "cluster": clusters, "rank": [rank_of[c] for c in clusters]}
-    )
-    assigned = scored.join(F.broadcast(by_point), scores)
-    return Segmentation(assigned.select(*scored.columns, "cluster", "rank"), ranks, scores, cost)
+    # One row per cluster.
+    assigned = assigned.join(F.broadcast(ranks.select(F.col("cluster").cast("int").alias("_ranked"), "rank")), F.col("cluster").cast("int") == F.col("_ranked"))
+    return Segmentation(assigned.select(*scored.columns, F.col("cluster").cast("bigint").alias("cluster"), "rank"), ranks, scores, cost)

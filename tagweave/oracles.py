@@ -137,6 +137,16 @@ ORACLES = {
         UNION ALL SELECT id, 'detail', 'nationkey', nationkey FROM ({TSV_FIELDS})
         UNION ALL SELECT id, 'detail', 'segment', segment FROM ({TSV_FIELDS})
     """,
+    "bulk_load_twice": """
+        SELECT c_custkey::VARCHAR AS id,
+               CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment || ' again' ELSE c_mktsegment END AS segment
+        FROM customer WHERE c_nationkey >= 5
+    """,
+    "condition_text_filter": """
+        SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey FROM orders
+        WHERE o_totalprice >= 100000 AND o_orderdate::DATE <= DATE '1998-12-31'
+          AND o_orderdate::DATE <> DATE '1998-12-30' AND o_orderstatus <> 'P' AND o_custkey > 99
+    """,
     "profile_upsert": UPSERTED,
     "profile_store": UPSERTED,
     "copy_fields": "SELECT c_custkey::VARCHAR AS c_custkey, c_mktsegment FROM customer",

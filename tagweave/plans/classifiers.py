@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +14,7 @@ from tagweave.operators.features import (
     fit_vector_index,
     in_training,
     l2_normalize,
+    numbered_copies,
     string_index,
 )
 from tagweave.sources.files import read_csv, read_libsvm
@@ -51,12 +53,13 @@ def tree_classifier(spark: SparkSession, path: str, num_features: int | None = N
 
     The text is parsed once and staged; the passes of the label index, the
     feature index and the tree read the staged columns they need. LibSVM rows
-    have no key: their place in the files decides between training and test, so
-    copies of a row are divided like any others.
+    have no key: their content decides between training and test, with the number of
+    the copy where rows are equal, so the split does not depend on partitioning.
     """
     parsed = read_libsvm(spark, path, num_features)
-    numbered = parsed.withColumn("row", F.monotonically_increasing_id())
-    rows = stage(numbered.withColumn("train", in_training("row")).drop("row"), "rows")
+    numbered = numbered_copies(parsed.withColumn("_slots", vector_to_array("features")), ["label", "_slots"], "_content", "_copy")
+    numbered = numbered.withColumn("_row", F.concat_ws(":", "_content", "_copy"))
+    rows = stage(numbered.withColumn("train", in_training("_row")).drop("_slots", "_content", "_copy", "_row"), "rows")
     indexed = string_index(rows, "label", "index_label")
     features = fit_vector_index(indexed, "features", "index_features").transform(indexed)
     model = fit_tree(features.filter("train"), "index_label", "index_features")

@@ -231,7 +231,22 @@ def bulk_load_sorted(spark, sf_dir):
     source, target = scratch_path(spark, "lines"), scratch_path(spark, "cells")
     tsv_lines(spark, sf_dir).write.text(source)
     bulk_load.bulk_load(spark, TSV_FIELDS, "detail", source, target)
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).select(cells.CELL_COLUMNS)
+
+
+def bulk_load_twice(spark, sf_dir):
+    """Two loads with overlapping keys, the second with other segments, read back as rows."""
+    target = scratch_path(spark, "cells")
+    for number in (1, 2):
+        source = scratch_path(spark, f"lines{number}")
+        customers = table(spark, sf_dir, "customer").filter(F.lit(number == 1) | (F.col("c_custkey") % 3 == 0))
+        segment = F.col("c_mktsegment") if number == 1 else F.concat("c_mktsegment", F.lit(" again"))
+        fields = [F.col("c_custkey").cast("string"), segment, F.col("c_nationkey").cast("string")]
+        customers.select(F.concat_ws("\t", *fields)).write.text(source)
+        bulk_load.bulk_load(spark, ["id", "segment", "nationkey"], "detail", source, target)
+    rule = {"inType": "hbase", "hbaseTable": "t", "family": "detail", "selectFieldNames": "id,segment", "filterConditions": "nationkey[GE]5"}
+    source = business.describe_source(rule)
+    return business.read_source(spark, source, tables=lambda _: spark.read.parquet(target))
 
 
 def old_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,6 +333,16 @@ def condition_list_filter(spark, sf_dir):
     return conditions.filter_by(orders, text).select("o_orderkey", "o_custkey")
 
 
+def condition_text_filter(spark, sf_dir):
+    """The same on text columns: numbers as numbers, dates by the day."""
+    orders = table(spark, sf_dir, "orders").select(
+        *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")],
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" 10:30:00")).alias("o_orderdate"),
+    )
+    text = "o_totalprice[GE]100000,o_orderdate[LE]1998-12-31,o_orderdate[NE]1998-12-30,o_orderstatus[NE]P,o_custkey[GT]99"
+    return conditions.filter_by(orders, text).select("o_orderkey", "o_custkey")
+
+
 def part_condition() -> Column:
     names = F.array(*[F.lit(n) for n in ("EQ", "ne", "GT", "lt", "Ge", "LE")])
     name = F.get(names, F.pmod(F.col("p_size"), F.lit(6)))
@@ -725,7 +750,7 @@ QUERIES = {
         tag_catalog, attribute_tags, business_scan, rows_to_cells, cells_to_rows,
         relative_window_scan, csv_roundtrip, libsvm_roundtrip, tsv_parse, tsv_rejects,
         bulk_load_sorted, profile_upsert, profile_store, copy_fields, profile_wide,
-        condition_filter, condition_list_filter, condition_parts, rule_map, date_shift,
+        bulk_load_twice, condition_filter, condition_list_filter, condition_text_filter, condition_parts, rule_map, date_shift,
         date_parse, decimal_clean_sum, last_activity, unix_recency, event_frequency,
         distinct_engagement, rfm_raw, rfe_raw, rfm_score, rfm_score_as_coded,
         rfm_score_scaled, rfe_score, rfe_score_as_coded, rfe_score_scaled, order_value_band,

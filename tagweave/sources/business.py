@@ -8,9 +8,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagweave.functions.conditions import filter_by, filter_window
+from tagweave.functions.conditions import filter_by, filter_window, parse_conditions
 from tagweave.sources.catalog import source_rule
-from tagweave.sources.cells import CELL_COLUMNS, cells_to_rows
+from tagweave.sources.cells import CELL_COLUMNS, VERSION_COLUMNS, cells_to_rows
 from tagweave.sources.layouts import text_schema
 
 TableResolver = Callable[[str], DataFrame]
@@ -80,8 +80,11 @@ def read_source(
     else:
         df = (tables or spark.table)(source.location)
     if source.family and set(CELL_COLUMNS) <= set(df.columns):
-        window_field = [source.window.split("#")[0]] if source.window else []
-        df = cells_to_rows(df, source.family, list(dict.fromkeys([*source.fields, *window_field])))
+        asked = [source.window.split("#")[0]] if source.window else []
+        asked += [c.field for c in parse_conditions(source.conditions)] if source.conditions else []
+        newest = [F.col(c) for c in VERSION_COLUMNS if c in df.columns]
+        version = F.struct(*newest) if newest else None
+        df = cells_to_rows(df, source.family, list(dict.fromkeys([*source.fields, *asked])), version=version)
     if source.window:
         df = filter_window(df, source.window, as_of or dt.date.today())
     if source.conditions:

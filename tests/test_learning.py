@@ -29,21 +29,23 @@ def varied(spark, n=600, partitions=3):
 # Features
 
 
-@pytest.mark.parametrize("driver_labels", [10_000, 2])
-def test_string_index(spark, driver_labels):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_string_index(spark, monkeypatch, rows):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", rows)
     words = ["b", "b", "c", "a", "a", "d"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    found = features.string_index(df, "w", "i", driver_labels)
+    found = features.string_index(df, "w", "i")
     assert found.columns == ["w", "i"]
     assert sorted(map(tuple, found.collect())) == sorted(zip(words, [1.0, 1.0, 2.0, 0.0, 0.0, 3.0]))
     expected = StringIndexer(inputCol="w", outputCol="i").fit(df).transform(df)
     assert sorted(map(tuple, expected.collect())) == sorted(map(tuple, found.collect()))
 
 
-@pytest.mark.parametrize("driver_labels", [10_000, 0])
-def test_null_label_is_an_error(spark, driver_labels, failing):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_null_label_is_an_error(spark, monkeypatch, rows, failing):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", rows)
     df = spark.createDataFrame([("a",), (None,)], "w string")
-    failing(features.string_index(df, "w", "i", driver_labels), "(?i)null")
+    failing(features.string_index(df, "w", "i"), "(?i)null")
 
 
 def test_assemble(spark, failing):
@@ -150,17 +152,22 @@ def test_unscored_users(spark):
         segments.segment(df.filter("f_score is null"), SCORES, k=2, max_iter=10, handle_invalid="skip")
 
 
-def test_scores_have_to_be_banded(spark, monkeypatch):
-    monkeypatch.setattr(segments, "GRID_POINTS", 3)
-    with pytest.raises(ValueError, match="banded"):
-        segments.segment(varied(spark), SCORES, k=2, max_iter=10)
+def test_any_number_of_points_and_partitions(spark):
+    """Scores that are not banded: 100,000 distinct points, the same clusters for every partitioning."""
+    wide = spark.range(100_000).selectExpr(
+        "cast(id as string) userId", "id / 7.0D + (id % 4) * 1e6 r_score", "(id % 4) * 1e6D f_score", "cast(id % 11 as double) m_score"
+    )
+    found = []
+    for n in (1, 4, 9):
+        assigned = segments.segment(wide.repartition(n), SCORES, k=4, max_iter=10).assigned
+        found.append({tuple(r) for r in assigned.groupBy(F.col("userId").cast("int") % 4, "rank").count().collect()})
+    assert found[0] == found[1] == found[2] == {(i, 3 - i, 25_000) for i in range(4)}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_equal_sums_are_ordered_by_center(spark, small):
+def test_equal_sums_are_ordered_by_center(spark):
     centers = [(0, [1.0, 3.0]), (1, [3.0, 1.0]), (2, [3.0, 1.0]), (3, [9.0, 0.0])]
     frame = spark.createDataFrame(centers, "cluster int, center array<double>").repartition(3)
-    found = segments.rank_clusters(frame, small)
+    found = segments.rank_clusters(frame)
     assert dict(found.dtypes)["rank"] == "int"
     assert {r.cluster: r["rank"] for r in found.collect()} == {3: 0, 1: 1, 2: 2, 0: 3}
 

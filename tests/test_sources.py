@@ -158,14 +158,43 @@ def test_bulk_load(spark, tmp_path):
     rejected = bulk_load(spark, ["id", "b", "a"], "detail", str(tmp_path / "in"), target)
     assert [tuple(r) for r in rejected.collect()] == [("bad", 1)]
     found = spark.read.parquet(target)
-    assert sorted(map(tuple, found.collect())) == [
+    assert sorted(map(tuple, found.select(cells.CELL_COLUMNS).collect())) == [
         ("10", "detail", "a", ""), ("10", "detail", "b", "x"), ("10", "detail", "id", "10"),
         ("2", "detail", "a", "z"), ("2", "detail", "b", "y"), ("2", "detail", "id", "2"),
     ]
-    bulk_load(spark, ["id", "b", "a"], "detail", str(tmp_path / "in"), target)
+    bulk_load(spark, ["id", "b", "a"], "detail", str(tmp_path / "in"), target, replace=True)
     assert spark.read.parquet(target).count() == 6
 
 
+def newest_rows(spark, target, fields, conditions=None):
+    rule = {"inType": "hbase", "hbaseTable": "t", "family": "detail", "selectFieldNames": fields}
+    rule |= {"filterConditions": conditions} if conditions else {}
+    source = business.describe_source(rule)
+    found = business.read_source(spark, source, tables=lambda _: spark.read.parquet(target))
+    return sorted(map(tuple, found.collect()))
+
+
+def test_a_load_adds_to_the_table_and_the_newest_cell_counts(spark, tmp_path):
+    target, (one, two) = str(tmp_path / "out"), (tmp_path / "one", tmp_path / "two")
+    for folder, text in ((one, "1\t9\n1\t10\n2\t5\n"), (two, "1\t8\n3\t7\n")):
+        folder.mkdir()
+        (folder / "a.tsv").write_text(text)
+    bulk_load(spark, ["id", "t"], "detail", str(one), target)
+    assert newest_rows(spark, target, "id,t") == [("1", "10"), ("2", "5")]
+    bulk_load(spark, ["id", "t"], "detail", str(two), target)
+    assert newest_rows(spark, target, "id,t") == [("1", "8"), ("2", "5"), ("3", "7")]
+    assert newest_rows(spark, target, "id", "t[GE]7") == [("1",), ("3",)]
+
+
+def test_a_failed_load_leaves_the_table(spark, tmp_path):
+    target = str(tmp_path / "out")
+    write_sorted(spark.createDataFrame([("1", "a")], "id string, v string"), "id", "detail", target)
+    broken = spark.range(1).select(F.lit("2").alias("id"), F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        write_sorted(broken, "id", "detail", target)
+    assert newest_rows(spark, target, "id,v") == [("1", "a")]
+
+
 def partitions_of(df):
     return df.withColumn("p", F.spark_partition_id()).collect()
 
@@ -193,8 +222,10 @@ def test_copies_of_one_row_are_spread(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_write_sorted_replaces(spark, tmp_path):
+def test_write_sorted_replaces_when_asked_to(spark, tmp_path):
     df = spark.createDataFrame([("a", "1")], "id string, x string")
     for _ in range(2):
         write_sorted(df, "id", "f", str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+    write_sorted(df, "id", "f", str(tmp_path / "t"), replace=True)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
