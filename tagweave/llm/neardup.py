@@ -11,10 +11,11 @@ A bucket's pairs are not listed. Its first node is the pivot, and all others are
 compared to it on their full sets. Two nodes of a bucket still need a comparison
 only if they are in different components by now and, distance being a metric,
 their distances to the pivot differ by no more than a link's. Those nodes get a
-second pivot, and what is left after that is compared pair by pair after a look
-at the signatures, whose estimate must be within ``SLACK`` of the threshold
-(eight standard deviations). So a group of n copies costs about n comparisons in
-each bucket, and no link is given up for a bucket's size.
+second pivot. Those still outside are then compared to the pivot's whole
+component, and to each other bucket by bucket, in blocks inside tasks, after a
+look at sizes and signatures, whose estimate must be within ``BLOCK_SLACK`` (six
+standard deviations) of the threshold. So a group of n copies costs about n
+comparisons in each bucket, and no link is given up for a bucket's size.
 
 Components come from alternating large-star and small-star.
 
@@ -41,7 +42,9 @@ from tagweave.operators.numbering import number_rows
 from tagweave.storage import stage
 
 BANDS, ROWS = 32, 5
-SLACK = 0.25
+BLOCK_SLACK = 0.2
+#: Bytes of sets on one side of a block.
+BLOCK_BYTES = 1 << 19
 #: Members compared to one copy of a pivot's set.
 SHARE = 256
 
@@ -175,17 +178,72 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("pivot", "no", "shingles").mapInArrow(_compare, "pivot bigint, no bigint, shared bigint, total bigint")
 
 
-def _close(threshold: int):
-    return F.col("shared") * 100 >= F.col("total") * threshold
+def _block_links(threshold: int):
+    """Links between different components on the two sides of a block: for a node of the second side one with each."""
+    nearest = threshold / 100 - BLOCK_SLACK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, kept, signs, sizes, roots = None, [], None, None, None
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            columns = [batch.column(c) for c in ("pair", "one", "two", "second", "no", "root", "shingles", "sign")]
+            for pair, one, two, second, no, root, body, sign in zip(*[c.to_pylist() for c in columns], strict=True):
+                found, own = np.frombuffer(body, np.uint64), np.frombuffer(sign, np.uint32)
+                if block != (pair, one, two):
+                    block, kept, signs = (pair, one, two), [], None
+                if not second:
+                    kept.append((no, found, own, root))
+                    continue
+                if not kept:
+                    continue
+                if signs is None:
+                    signs, sizes = np.stack([k[2] for k in kept]), np.array([len(k[1]) for k in kept])
+                    roots = np.array([k[3] for k in kept])
+                alike = np.minimum(sizes, len(found)) * 100 >= np.maximum(sizes, len(found)) * threshold
+                alike &= roots != root
+                alike[alike] = (signs[alike] == own).mean(axis=1) >= nearest
+                linked = set()
+                for i in np.flatnonzero(alike):
+                    if kept[i][3] in linked:
+                        continue
+                    places = np.searchsorted(found, kept[i][1])
+                    places[places == len(found)] = 0
+                    both = int((found[places] == kept[i][1]).sum())
+                    if both * 100 >= (len(found) + len(kept[i][1]) - both) * threshold:
+                        links.append((kept[i][0], no))
+                        linked.add(kept[i][3])
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, "int64"), pa.array(b, "int64")], names=["a", "b"])
+
+    return run
+
 
+def in_blocks(first: DataFrame, second: DataFrame, sets: DataFrame, signs: DataFrame, threshold: int) -> DataFrame:
+    """Links ``a, b`` between the nodes of two sides (``pair, no``) of each pair.
 
-def _agreement(a: str, b: str):
-    """Share of equal minima of two signatures, 4 bytes each."""
-    same = lambda i: (F.substring(a, i * 4 + 1, 4) == F.substring(b, i * 4 + 1, 4)).cast("int")
-    total = same(0)
-    for i in range(1, BANDS * ROWS):
-        total = total + same(i)
-    return total / F.lit(BANDS * ROWS)
+    Each side is dealt to shares of about ``BLOCK_BYTES`` of sets, and every share
+    of one side meets every share of the other in a block, so sets are moved once
+    for each block and no pair of nodes is ever a row.
+    """
+    known = sets.join(signs, "no")
+
+    def dealt(side: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = side.join(known, "no")
+        shares = rows.groupBy("pair").agg(F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_BYTES).cast("int").alias("shares"))
+        return rows, shares
+
+    (one, one_shares), (two, two_shares) = dealt(first), dealt(second)
+    shares = one_shares.withColumnRenamed("shares", "ones").join(two_shares.withColumnRenamed("shares", "twos"), "pair")
+    share = lambda n: F.pmod(F.xxhash64("no"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = one.join(shares, "pair").select("pair", share("ones").alias("one"), every("twos").alias("two"), F.lit(False).alias("second"), "no", "root", "shingles", "sign")
+    two = two.join(shares, "pair").select("pair", every("ones").alias("one"), share("twos").alias("two"), F.lit(True).alias("second"), "no", "root", "shingles", "sign")
+    rows = one.unionByName(two).repartition("pair", "one", "two").sortWithinPartitions("pair", "one", "two", "second", "no")
+    return rows.mapInArrow(_block_links(threshold), "a bigint, b bigint")
+
+
+def _close(threshold: int):
+    return F.col("shared") * 100 >= F.col("total") * threshold
 
 
 def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
@@ -231,21 +289,25 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
     again = stage(compare(pairs, sets), "again")
     found = stage(found.unionByName(again.filter(_close(threshold)).select(F.col("pivot").alias("a"), F.col("no").alias("b"))), "found")
 
-    # The rest, pair by pair.
+    # Nodes outside against the pivot's component, in blocks.
     left = placed(members.select("key", "pivot", "no", "far", "second"), found)
-    left = left.filter((F.col("no") != F.col("pivot")) & (F.col("no") != F.col("second")))
-    size = nodes.select("no", "n_shingles")
-    left = left.join(size, "no").select("key", "no", "root", "far", "n_shingles")
-    other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("no", "root", "far", "n_shingles")])
-    alike = F.least("n_shingles", "n_shingles2") * 100 >= F.greatest("n_shingles", "n_shingles2") * threshold
-    rest = left.join(other, "key").filter((F.col("no") < F.col("no2")) & (F.col("root") != F.col("root2")) & may_link("far", "far2") & alike)
-    rest = stage(rest.select(F.col("no").alias("pivot"), F.col("no2").alias("no")).distinct(), "rest")
-    if not rest.isEmpty():
-        signs = nodes.select("no", "sign")
-        rest = rest.join(signs.select(F.col("no").alias("pivot"), F.col("sign").alias("sign1")), "pivot").join(signs, "no")
-        rest = rest.filter(_agreement("sign1", "sign") >= threshold / 100 - SLACK).select("pivot", "no")
-        last = compare(rest, sets).filter(_close(threshold)).select(F.col("pivot").alias("a"), F.col("no").alias("b"))
-        found = stage(found.unionByName(last), "found")
+    home = left.filter("no = pivot").select("key", F.col("root").alias("home"))
+    left = left.join(home, "key")
+    reached = left.filter("root = home").groupBy("key").agg(F.max("far").alias("most"))
+    inside = left.filter("root = home").select(F.col("home").alias("pair"), "no", "root").distinct()
+    outside = left.filter("root <> home").join(reached, "key").filter(F.col("far") <= F.col("most") + reach + 1e-9)
+    outside = outside.select(F.col("home").alias("pair"), "no", "root").distinct()
+    across = stage(in_blocks(inside, outside, sets, nodes.select("no", "sign"), threshold), "across")
+    found = stage(found.unionByName(across), "found")
+
+    # And against each other, bucket by bucket.
+    left = placed(members.select("key", "pivot", "no", "second"), found)
+    home = left.filter("no = pivot").select("key", F.col("root").alias("home"))
+    left = left.join(home, "key").filter("root <> home and no <> second").select(F.col("key").alias("pair"), "no", "root")
+    some = left.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("pair")
+    left = stage(left.join(some, "pair"), "left")
+    if not left.isEmpty():
+        found = found.unionByName(in_blocks(left, left, sets, nodes.select("no", "sign"), threshold))
     return found
 
 
