@@ -39,7 +39,7 @@ from tagweave.llm.common import text_or_empty
 from tagweave.llm.components import components
 from tagweave.llm.repeats import free_shuffles
 from tagweave.operators.numbering import number_rows
-from tagweave.storage import stage
+from tagweave.storage import release, stage
 
 BANDS, ROWS = 32, 5
 BLOCK_SLACK = 0.2
@@ -262,6 +262,7 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
 
     tested = stage(compare(buckets.filter("no <> pivot").select("pivot", "no").distinct(), sets), "tested")
     found = tested.filter(_close(threshold)).select(F.col("pivot").alias("a"), F.col("no").alias("b"))
+    free_shuffles(nodes.sparkSession)
 
     def placed(members: DataFrame, found: DataFrame) -> DataFrame:
         """Members of buckets that still hold several components."""
@@ -287,6 +288,7 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
     pairs = members.filter((F.col("root") != F.col("second_root")) & (F.col("no") != F.col("pivot")) & may_link("far", "second_far"))
     pairs = pairs.select(F.col("second").alias("pivot"), "no").distinct()
     again = stage(compare(pairs, sets), "again")
+    free_shuffles(nodes.sparkSession)
     found = stage(found.unionByName(again.filter(_close(threshold)).select(F.col("pivot").alias("a"), F.col("no").alias("b"))), "found")
 
     # Nodes outside against the pivot's component, in blocks.
@@ -299,6 +301,7 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
     outside = outside.select(F.col("home").alias("pair"), "no", "root").distinct()
     across = stage(in_blocks(inside, outside, sets, nodes.select("no", "sign"), threshold), "across")
     found = stage(found.unionByName(across), "found")
+    free_shuffles(nodes.sparkSession)
 
     # And against each other, bucket by bucket.
     left = placed(members.select("key", "pivot", "no", "second"), found)
@@ -307,7 +310,10 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
     some = left.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("pair")
     left = stage(left.join(some, "pair"), "left")
     if not left.isEmpty():
-        found = found.unionByName(in_blocks(left, left, sets, nodes.select("no", "sign"), threshold))
+        last = stage(in_blocks(left, left, sets, nodes.select("no", "sign"), threshold), "last")
+        found = found.unionByName(last)
+    release(sets, buckets)
+    free_shuffles(nodes.sparkSession)
     return found
 
 
