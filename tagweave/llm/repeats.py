@@ -8,8 +8,9 @@ Strings are judged on the input, not on what is left, and never cross documents.
    substrings, its anchor. Successive strings with one anchor in one place make
    a unit: r strings, at most 69, have r + 99 bytes. Equal strings have equal
    anchors, and the strings of one unit all differ.
-2. Anchors of more than one unit are found by counting. Only their units are cut
-   out of the texts.
+2. Copies of a whole text are found first, by MD5; they are removed as they are,
+   and only the earliest goes on. Anchors in more than one place are found by
+   grouping; only their units are cut out of the texts.
 3. Of equal units the earliest stays; the strings of the others are repeats.
 4. Anchors with several different units: their texts are joined, separators
    between them, and sorted by suffix (``suffix.suffix_arrays``). Neighbours that
@@ -42,13 +43,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tagweave.llm.common import text_or_empty
 from tagweave.llm.suffix import suffix_arrays
 from tagweave.operators.numbering import number_rows
-from tagweave.storage import stage
+from tagweave.storage import release, stage
 
 LENGTH, SEED_BYTES = 100, 32
 #: Different units of an anchor that are sorted together.
-MOST_UNITS = 48
+MOST_UNITS = 512
 #: Bytes of text hashed at a time, and sorted at a time.
-SLICE, SORTED = 1 << 17, 1 << 21
+SLICE, SORTED = 1 << 17, 1 << 20
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,10 +115,10 @@ def _list_units(length: int):
         for batch in batches:
             data, bounds = _bytes_of(batch.column("body"))
             anchor, text, start, strings = units(data, bounds, length)
-            nos = batch.column("no").take(pa.array(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), nos, pa.array(start), pa.array(strings.astype(np.int32))], names=["anchor", "no", "start", "run"]
-            )
+            where = pa.array(text)
+            columns = [pa.array(anchor), batch.column("no").take(where), batch.column("content").take(where)]
+            columns += [pa.array(start), pa.array(strings.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "no", "content", "start", "run"])
 
     return run
 
@@ -225,28 +226,41 @@ def free_shuffles(spark: SparkSession) -> None:
 
 def repeat_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Byte ranges ``no, first, upto`` to remove from rows of ``no, body``; they may overlap."""
-    spark, id_kind = texts.sparkSession, "anchor bigint, no bigint, start bigint, run int"
-    listed = texts.mapInArrow(_list_units(length), id_kind)
-    repeated = listed.groupBy("anchor").count().filter("count > 1").select("anchor")
-    kept = stage(listed.join(repeated, "anchor", "left_semi"), "units")
+    spark = texts.sparkSession
+    whole = texts.select("no", F.unhex(F.md5("body")).alias("md5"), F.octet_length("body").alias("size")).filter(F.col("size") >= length)
+    earliest = whole.groupBy("md5").agg(F.min("no").alias("no1"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copied = stage(whole.join(earliest, "md5").filter("no <> no1").select("no", "size"), "copied")
+
+    listed = texts.select("no", "body", F.xxhash64("body").alias("content"))
+    listed = listed.mapInArrow(_list_units(length), "anchor bigint, no bigint, content bigint, start bigint, run int")
+    place = F.xxhash64("content", "start")
+    repeated = listed.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high").select("anchor")
+    kept = listed.drop("content").join(repeated, "anchor", "left_semi").join(copied, "no", "left_anti")
+    kept = stage(kept, "units", "zstd")
     free_shuffles(spark)
 
     of_text = kept.groupBy("no").agg(F.collect_list(F.struct("anchor", "start", "run")).alias("units"))
     pieces = texts.join(of_text, "no").select("no", "body", "units")
     pieces = pieces.mapInArrow(_cut_units(length), "anchor bigint, digest bigint, no bigint, start bigint, run int, piece binary")
-    pieces = stage(pieces, "pieces")
+    pieces = stage(pieces, "pieces", "zstd")
+    release(kept)
     free_shuffles(spark)
 
     first = pieces.groupBy("anchor", "digest").agg(F.min(F.struct("no", "start")).alias("first"))
-    first = stage(first.select("anchor", "digest", F.col("first.no").alias("no1"), F.col("first.start").alias("start1")), "first")
+    first = stage(first.select("anchor", "digest", F.col("first.no").alias("no1"), F.col("first.start").alias("start1")), "first", "zstd")
+    free_shuffles(spark)
     at = (F.col("no") == F.col("no1")) & (F.col("start") == F.col("start1"))
     copies = pieces.drop("piece").join(first, ["anchor", "digest"]).filter(~at)
-    spans = copies.select("no", F.col("start").alias("first"), (F.col("start") + F.col("run") + length - 1).alias("upto"))
+    spans = stage(copies.select("no", F.col("start").alias("first"), (F.col("start") + F.col("run") + length - 1).alias("upto")), "copies", "zstd")
+    zero = F.lit(0).cast("long")
+    spans = spans.unionByName(copied.select("no", zero.alias("first"), F.col("size").cast("long").alias("upto")))
+    free_shuffles(spark)
 
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     mixed = first.join(several, "anchor")
     mixed = pieces.join(mixed, ["anchor", "digest"]).filter(at)
-    mixed = stage(mixed.select("anchor", "no", "start", "run", "piece", "n"), "mixed")
+    mixed = stage(mixed.select("anchor", "no", "start", "run", "piece", "n"), "mixed", "zstd")
+    release(pieces, first)
     free_shuffles(spark)
     few = mixed.filter(F.col("n") <= MOST_UNITS).drop("n").repartition("anchor").sortWithinPartitions("anchor", "no", "start")
     spans = spans.unionByName(few.mapInArrow(_sort_units(length), "no bigint, first bigint, upto bigint"))
