@@ -35,7 +35,7 @@ from tagweave.llm.common import SPACE, text_or_empty
 from tagweave.operators.numbering import number_rows
 from tagweave.storage import stage
 
-PART_WORDS = 24
+PART_WORDS = 40
 BASE, WIDE, BUCKET = 6, 12, 16
 ROUNDS = 8
 
@@ -69,6 +69,7 @@ def _placed(found: Column, width: int, seed: Column) -> Column:
                 (F.pmod(F.shiftright(h, 20), F.lit(width)) + width).alias("b"),
                 (F.pmod(F.shiftright(h, 40), F.lit(width)) + 2 * width).alias("c"),
                 F.shiftrightunsigned(h, 8).alias("bucket"),
+                _check(d).alias("h"),
             ),
         )
 
@@ -86,7 +87,7 @@ def _filled(placed: Column, width: int) -> Column:
 
     def add(s: Column, d: Column) -> Column:
         return F.struct(
-            (s["n"] + 1).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(_check(d["k"])).alias("h")
+            (s["n"] + 1).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(d["h"]).alias("h")
         )
 
     def row(name: str, first: int) -> Column:
@@ -113,7 +114,7 @@ def _peel(difference: Column, width: int, seed: Column) -> Column:
 
     def opened(cells: Column) -> Column:
         single = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["h"]))
-        keys = F.array_distinct(F.transform(single, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"))))
+        keys = F.array_distinct(F.transform(single, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h"))))
 
         def place(c: Column) -> Column:
             return _let(
@@ -121,6 +122,7 @@ def _peel(difference: Column, width: int, seed: Column) -> Column:
                 lambda h: F.struct(
                     c["k"].alias("k"),
                     c["n"].alias("n"),
+                    c["h"].alias("h"),
                     F.pmod(h, F.lit(width)).cast("int").alias("a"),
                     (F.pmod(F.shiftright(h, 20), F.lit(width)) + width).cast("int").alias("b"),
                     (F.pmod(F.shiftright(h, 40), F.lit(width)) + 2 * width).cast("int").alias("c"),
@@ -136,7 +138,7 @@ def _peel(difference: Column, width: int, seed: Column) -> Column:
                 F.filter(out, lambda d: (d["a"] == j) | (d["b"] == j) | (d["c"] == j)),
                 c,
                 lambda s, d: F.struct(
-                    (s["n"] - d["n"]).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(_check(d["k"])).alias("h")
+                    (s["n"] - d["n"]).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(d["h"]).alias("h")
                 ),
             ),
         )

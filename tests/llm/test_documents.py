@@ -257,7 +257,7 @@ def test_packed_pieces(odd_docs, odd_rows):
 
 
 def test_fingerprints(odd_docs, odd_rows):
-    parts = lambda t: {p.rstrip(" ") for p in re.findall(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,24}", t)}
+    parts = lambda t: {p.rstrip(" ") for p in re.findall(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,40}", t)}
     alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     order = sorted({(i, t or "") for i, t, _ in odd_rows}, key=lambda r: (r[0] is None, -(r[0] or 0), key(*r)[2]))
     expected = {}
