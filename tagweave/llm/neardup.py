@@ -303,10 +303,9 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
     found = stage(found.unionByName(across), "found")
     free_shuffles(nodes.sparkSession)
 
-    # And against each other, bucket by bucket.
-    left = placed(members.select("key", "pivot", "no", "second"), found)
-    home = left.filter("no = pivot").select("key", F.col("root").alias("home"))
-    left = left.join(home, "key").filter("root <> home and no <> second").select(F.col("key").alias("pair"), "no", "root")
+    # And against each other, bucket by bucket: nodes that have just come to the pivot's component, too.
+    apart = left.filter("root <> home and no <> second").select(F.col("key").alias("pair"), "no")
+    left = apart.join(components(found), F.col("no") == F.col("node"), "left").select("pair", "no", F.coalesce("root", "no").alias("root"))
     some = left.groupBy("pair").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("pair")
     left = stage(left.join(some, "pair"), "left")
     if not left.isEmpty():

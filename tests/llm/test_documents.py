@@ -151,6 +151,26 @@ def test_near_duplicates_of_a_large_group(spark):
     assert Counter(tuple(r)[:3] for r in found.collect()) == near_groups(rows, 2)
 
 
+def drifted(n, rng, length=120, most=7):
+    """Texts of a tree of variants: each a changed copy of an earlier one."""
+    texts = [[f"w{k}" for k in range(length)]]
+    while len(texts) < n:
+        text = list(texts[rng.integers(0, len(texts))])
+        for at in rng.integers(0, length, rng.integers(1, most)):
+            text[at] = f"v{rng.integers(0, 4000)}"
+        texts.append(text)
+    return [(i, " ".join(texts[k])) for i, k in enumerate(rng.permutation(n).tolist())]
+
+
+def test_near_duplicates_of_a_drifting_group(spark, monkeypatch):
+    # All in one bucket: no other bucket can make up for a pair that is not compared in it.
+    monkeypatch.setattr(neardup, "BANDS", 1)
+    monkeypatch.setattr(neardup, "ROWS", 0)
+    rows = drifted(1100, np.random.default_rng(11))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    assert Counter(tuple(r)[:3] for r in found.collect()) == near_groups(rows, 2)
+
+
 def test_near_deduplicate(odd_docs):
     kept = neardup.deduplicate(odd_docs, words=5)
     assert kept.columns == odd_docs.columns
