@@ -94,6 +94,26 @@ def test_blocks():
     assert html_text.blocks("")[1] == [] and html_text.blocks("<<p>x & y &am")[1][-1].endswith("x & y &am")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content"><p>text</p></div><article class="comment-body"><p>nice</p></article>',
+        '<div class="content"><p>text</p></div><div id="comments"><article><p>nice</p></article></div>',
+        "<main></main><div><p>text</p></div>",
+        '<!-- <article> --><script>"<main"</script><div><p>text</p></div>',
+        '<div class="no-sidebar"><article><p>text</p></article></div>',
+        '<div class="has-sidebar"><p>text</p></div>',
+        '<div class="content-with-menu"><main><p>text</p></main></div>',
+        '<div class="sidebar"><p>links</p><article><p>text</p></article></div>',
+        '<div id="comments"><main><p>text</p></main></div>',
+        '<main><p>text</p><div class="related"><article><p>other</p></article></div></main>',
+        '<div class="site-footer">foot</div><div class="cookie-notice">we use</div><div class="ad-slot-1">buy</div><p>text</p>',
+    ],
+)
+def test_no_main_text_is_lost(page):
+    assert html_text.blocks(f"<html><body>{page}</body></html>")[1] == ["text"]
+
+
 def test_extract(pages, rows):
     found = Counter((r.id, r.url, r.text) for r in html_text.extract(pages).collect())
     assert found == Counter((i, u, "\n\n".join(html_text.blocks(h or "")[1])) for i, u, h in rows)
