@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A text is the set of its paragraphs' digests; a paragraph of more than
-``PART_WORDS`` words counts as several parts of so many words. A sketch is three
+``part_words`` words counts as several parts of so many words. A sketch is three
 rows of cells; every digest falls into one cell of each row, and a cell holds the
 number of its digests, their xor and the xor of their checks. Subtracting the
 sketches of two versions cell by cell leaves the digests that differ. Cells with
@@ -39,17 +39,16 @@ PART_WORDS = 40
 BASE, WIDE, BUCKET = 6, 12, 16
 ROUNDS = 8
 
-_PART = rf"(?:[^{SPACE}]++[\x20\x09\x0B-\x0D]*+){{1,{PART_WORDS}}}"
-
 
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def digests(text: Column) -> Column:
+def digests(text: Column, part_words: int) -> Column:
     """The distinct 64-bit digests of a text's paragraphs."""
-    parts = F.regexp_extract_all(text, F.lit(_PART), F.lit(0))
+    part = rf"(?:[^{SPACE}]++[\x20\x09\x0B-\x0D]*+){{1,{part_words}}}"
+    parts = F.regexp_extract_all(text, F.lit(part), F.lit(0))
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(F.rtrim(p))))
 
 
@@ -258,7 +257,7 @@ def neighbours(docs: DataFrame, descending: bool = True) -> DataFrame:
     return ranked.join(after, "rank").drop("rank")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_words: int = PART_WORDS) -> DataFrame:
     """One row per input row: ``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The edited text: the last third of the characters (rounded down) replaced by
@@ -272,7 +271,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if unique:
         as_next = pairs.select(F.col("next_id").alias("id"), F.col("id").alias("for_id"), "size")
         given = rows.join(as_next, "id")
-        given = given.select(F.col("for_id").alias("id"), F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text")).alias("next"))
+        given = given.select(F.col("for_id").alias("id"), F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text"), part_words).alias("next"))
         joined = rows.join(given, "id")
     else:
         keyed = rows.withColumn("md5", F.md5("text"))
@@ -280,12 +279,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         # Of rows that agree in id and text one speaks for all.
         once = keyed.dropDuplicates(["id", "md5"])
         given = once.join(as_next, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("md5") == F.col("next_md5")))
-        given = given.select("for_id", "for_md5", F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text")).alias("next"))
+        given = given.select("for_id", "for_md5", F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text"), part_words).alias("next"))
         joined = keyed.join(given, F.col("id").eqNullSafe(F.col("for_id")) & (F.col("md5") == F.col("for_md5")))
     size = F.length("text")
     kept = F.substring("text", F.lit(1), size - F.floor(size / 3).cast("int"))
     edited = joined.select("id", size.cast("long").alias("n_chars"), "text", F.concat(kept, "head").alias("edited"), "next")
-    sets = F.struct(digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"), F.col("next").alias("next"))
+    sets = F.struct(digests(F.col("text"), part_words).alias("own"), digests(F.col("edited"), part_words).alias("edited"), F.col("next").alias("next"))
     first = edited.select(
         "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), _attempt(sets, F.lit(0), True).alias("r")
     )

@@ -35,7 +35,7 @@ def op4_suffix_dedup(spark, sf_dir):
 
 
 def op5_fingerprint(spark, sf_dir):
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"), part_words=24).withColumnRenamed("id", "doc_id")
 
 
 def op6_packing(spark, sf_dir):

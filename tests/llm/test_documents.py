@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, fingerprint, mixing, neardup, packing, repeats, toxicity
+from tagweave.llm import exact, fingerprint, mixing, neardup, packing, queries, repeats, toxicity
 from tagweave.llm.components import components
 from tagweave.llm.suffix import suffix_arrays
 
@@ -291,6 +291,13 @@ def test_fingerprints(odd_docs, odd_rows):
     assert len({r.fingerprint for r in found if r.id in (5, 6)}) == 1
 
 
+def test_fingerprint_query_tells_parts_of_a_short_line(spark, tmp_path):
+    rows = [(i, " ".join(f"{i}{k:03}" for k in range(36))) for i in (1, 2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op5_fingerprint(spark, str(tmp_path)).collect()
+    assert [(round(r.near_edited, 9), r.near_next) for r in found] == [(round(1 / 3, 9), 0.0)] * 2
+
+
 # Toxicity
 
 
