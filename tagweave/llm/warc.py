@@ -96,7 +96,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.sha2("payload", 256).alias("found"),
     )
     fits = F.lower(F.hex("address")) == F.col("found")
-    checked = checked.withColumn("payload", F.when(fits, F.col("payload")).otherwise(F.raise_error("a payload does not fit its address"))).drop("found")
+    # In both, so that a reader of either column has it checked.
+    sure = {c: F.when(fits, F.col(c)).otherwise(F.raise_error("a payload does not fit its address")) for c in ("payload", "payload_digest")}
+    checked = checked.withColumns(sure).drop("found")
     text = F.decode("header", "UTF-8")
     said = lambda pattern: F.regexp_extract(text, rf"\r\n{pattern}\r\n", 1)
     revisit = said("WARC-Type: ([a-z]+)") == "revisit"

@@ -84,6 +84,16 @@ def test_a_changed_payload_fails_the_read(spark, pages):
         warc.read_archive(spark, f"{path}-2").collect()
 
 
+def test_a_changed_payload_fails_a_read_of_its_digest(spark, pages):
+    path = scratch_path(spark, "warc")
+    warc.write_archive(pages, path)
+    changed = spark.read.parquet(f"{path}/payloads").selectExpr("address", "cast('x' as binary) as payload", "size", "sha1", "n", "keep")
+    changed.write.parquet(f"{path}-2/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{path}-2/records")
+    with pytest.raises(Exception, match="does not fit its address"):
+        warc.read_archive(spark, f"{path}-2").select("id", "payload_bytes", "payload_digest").collect()
+
+
 def test_blocks():
     page = """<html><head><title>x</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>menu</li></ul></nav>
       <div class="cookie-notice">We use cookies</div><main><article><header><h1>A &lt; B</h1></header><p>one<br>two&nbsp; three<p>four <b>bold
