@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact, fingerprint, html_text, mixing, neardup, packing, repeats, toxicity, urls, warc
+from tagweave.llm import codes, exact, fingerprint, html_text, lexical, mixing, neardup, packing, repeats, simhash, toxicity, urls, warc
 from tagweave.llm.common import table
 from tagweave.storage import scratch_path
 
@@ -66,7 +66,26 @@ def op10_url_filters(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op5_fingerprint, op6_packing, op7_minhash, op8_html_text, op9_warc, op10_url_filters)}
+def op11_vector_codes(spark, sf_dir):
+    return codes.coded(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_lexical_search(spark, sf_dir):
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("code"), 16, "0"))
+    return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
+ALL = (
+    op1_mixing, op2_exact_dedup, op3_toxicity, op4_suffix_dedup, op5_fingerprint, op6_packing, op7_minhash, op8_html_text, op9_warc, op10_url_filters,
+    op11_vector_codes, op12_lexical_search, op13_simhash,
+)
+QUERIES = {f.__name__: f for f in ALL}
 
 ORACLES = {
     "op1_mixing": r"""
@@ -170,4 +189,66 @@ ORACLES = {
             FROM u LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE n = 1
     """,
+    "op11_vector_codes": """
+        WITH k AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (
+            SELECT vec_id, pos, v[pos * 4 + 1] AS x0, v[pos * 4 + 2] AS x1, v[pos * 4 + 3] AS x2, v[pos * 4 + 4] AS x3
+            FROM k, (SELECT unnest(range(0, 16)) AS pos)),
+        f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k),
+        b0 AS (SELECT pos, entry, x0 AS c0, x1 AS c1, x2 AS c2, x3 AS c3 FROM p JOIN f USING (vec_id) WHERE entry < 64),
+        a0 AS (
+            SELECT vec_id, pos, x0, x1, x2, x3, min(((x0-c0)*(x0-c0) + (x1-c1)*(x1-c1) + (x2-c2)*(x2-c2) + (x3-c3)*(x3-c3)) * 64 + entry) % 64 AS entry
+            FROM p JOIN b0 USING (pos) GROUP BY ALL),
+        m1 AS (
+            SELECT pos, entry, floor(sum(x0) / count(*))::BIGINT AS n0, floor(sum(x1) / count(*))::BIGINT AS n1,
+                   floor(sum(x2) / count(*))::BIGINT AS n2, floor(sum(x3) / count(*))::BIGINT AS n3 FROM a0 GROUP BY pos, entry),
+        b1 AS (
+            SELECT pos, entry, coalesce(n0, c0) AS c0, coalesce(n1, c1) AS c1, coalesce(n2, c2) AS c2, coalesce(n3, c3) AS c3
+            FROM b0 LEFT JOIN m1 USING (pos, entry)),
+        a1 AS (
+            SELECT vec_id, pos, x0, x1, x2, x3, min(((x0-c0)*(x0-c0) + (x1-c1)*(x1-c1) + (x2-c2)*(x2-c2) + (x3-c3)*(x3-c3)) * 64 + entry) % 64 AS entry
+            FROM p JOIN b1 USING (pos) GROUP BY ALL),
+        m2 AS (
+            SELECT pos, entry, floor(sum(x0) / count(*))::BIGINT AS n0, floor(sum(x1) / count(*))::BIGINT AS n1,
+                   floor(sum(x2) / count(*))::BIGINT AS n2, floor(sum(x3) / count(*))::BIGINT AS n3 FROM a1 GROUP BY pos, entry),
+        b2 AS (
+            SELECT pos, entry, coalesce(n0, c0) AS c0, coalesce(n1, c1) AS c1, coalesce(n2, c2) AS c2, coalesce(n3, c3) AS c3
+            FROM b1 LEFT JOIN m2 USING (pos, entry)),
+        a2 AS (
+            SELECT vec_id, pos, min(((x0-c0)*(x0-c0) + (x1-c1)*(x1-c1) + (x2-c2)*(x2-c2) + (x3-c3)*(x3-c3)) * 64 + entry) AS least
+            FROM p JOIN b2 USING (pos) GROUP BY ALL),
+        r AS (
+            SELECT vec_id, string_agg(printf('%02x', least % 64), '' ORDER BY pos) AS code, sum(least // 64)::BIGINT AS error
+            FROM a2 GROUP BY vec_id),
+        h AS (SELECT sha256(string_agg(concat_ws(',', c0, c1, c2, c3), ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM b2)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM r JOIN k USING (vec_id), h
+    """,
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        n AS (SELECT doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+        c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tf, c GROUP BY term, docs),
+        q AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL),
+        s AS (
+            SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (doc_id), c GROUP BY item_id, doc_id)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
