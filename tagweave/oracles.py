@@ -88,6 +88,22 @@ UPSERTED = """
     FROM old FULL JOIN new ON old."userId" = new."userId"
 """
 
+WIDE = f"""
+    WITH cells AS (
+        SELECT c_custkey::VARCHAR AS "userId",
+               CASE WHEN c_acctbal < 0 THEN 'owes' ELSE 'owns' END AS balance,
+               NULL::VARCHAR AS job, NULL::VARCHAR AS rfm, NULL::VARCHAR AS rfe
+        FROM customer
+        UNION ALL SELECT c_custkey::VARCHAR, NULL, tag_name, NULL, NULL FROM ({JOB_LEFT})
+        UNION ALL SELECT "userId"::VARCHAR, NULL, NULL,
+                         (r_score + f_score + m_score)::INTEGER::VARCHAR, NULL FROM ({RFM_SCALED})
+        UNION ALL SELECT "userId"::VARCHAR, NULL, NULL, NULL,
+                         (r_score + f_score + e_score)::INTEGER::VARCHAR FROM ({RFE_SCALED})
+    )
+    SELECT "userId", max(balance) AS balance, max(job) AS job, max(rfm) AS rfm, max(rfe) AS rfe
+    FROM cells GROUP BY "userId"
+"""
+
 # Vectors as one row per slot.
 SLOTS = """
     SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS slot FROM embeddings
@@ -150,21 +166,9 @@ ORACLES = {
     "profile_upsert": UPSERTED,
     "profile_store": UPSERTED,
     "copy_fields": "SELECT c_custkey::VARCHAR AS c_custkey, c_mktsegment FROM customer",
-    "profile_wide": f"""
-        WITH cells AS (
-            SELECT c_custkey::VARCHAR AS "userId",
-                   CASE WHEN c_acctbal < 0 THEN 'owes' ELSE 'owns' END AS balance,
-                   NULL::VARCHAR AS job, NULL::VARCHAR AS rfm, NULL::VARCHAR AS rfe
-            FROM customer
-            UNION ALL SELECT c_custkey::VARCHAR, NULL, tag_name, NULL, NULL FROM ({JOB_LEFT})
-            UNION ALL SELECT "userId"::VARCHAR, NULL, NULL,
-                             (r_score + f_score + m_score)::INTEGER::VARCHAR, NULL FROM ({RFM_SCALED})
-            UNION ALL SELECT "userId"::VARCHAR, NULL, NULL, NULL,
-                             (r_score + f_score + e_score)::INTEGER::VARCHAR FROM ({RFE_SCALED})
-        )
-        SELECT "userId", max(balance) AS balance, max(job) AS job, max(rfm) AS rfm, max(rfe) AS rfe
-        FROM cells GROUP BY "userId"
-    """,
+    "profile_wide": WIDE,
+    "profile_by_tag": WIDE,
+    "profile_saved_at_once": WIDE,
     "condition_filter": """
         SELECT 'eq' AS comparison, count(*) AS n FROM orders WHERE o_orderstatus = 'F'
         UNION ALL SELECT 'ne', count(*) FROM orders WHERE o_orderpriority <> '1-URGENT'

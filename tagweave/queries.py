@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -285,21 +286,39 @@ def score_sum(scored: DataFrame, scores: list[str], column: str) -> DataFrame:
     return scored.select("userId", total.cast("int").cast("string").alias(column))
 
 
-def profile_wide(spark, sf_dir):
+def wide_columns(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Four tags, each a frame of its own."""
     customer = table(spark, sf_dir, "customer")
     sign = customer.select(
         F.col("c_custkey").alias("userId"),
         F.when(F.col("c_acctbal") < 0, F.lit("owes")).otherwise("owns").alias("balance"),
     )
-    job = tag_models.profile_column(tag_job(spark, sf_dir), "job")
-    return profile.assemble(
-        [
-            sign,
-            job,
-            score_sum(rfm_score_scaled(spark, sf_dir), bands.score_columns(RFM_SCALED), "rfm"),
-            score_sum(rfe_score_scaled(spark, sf_dir), bands.score_columns(RFE_SCALED), "rfe"),
-        ]
-    )
+    return [
+        sign,
+        tag_models.profile_column(tag_job(spark, sf_dir), "job"),
+        score_sum(rfm_score_scaled(spark, sf_dir), bands.score_columns(RFM_SCALED), "rfm"),
+        score_sum(rfe_score_scaled(spark, sf_dir), bands.score_columns(RFE_SCALED), "rfe"),
+    ]
+
+
+def profile_wide(spark, sf_dir):
+    return profile.assemble(wide_columns(spark, sf_dir))
+
+
+def profile_by_tag(spark, sf_dir):
+    """The same put into a stored profile tag by tag, and read from there."""
+    base = scratch_path(spark, "profile")
+    for column in wide_columns(spark, sf_dir):
+        profile.save_profile(column, base)
+    return profile.read_profile(spark, base)
+
+
+def profile_saved_at_once(spark, sf_dir):
+    """The same saved by four jobs at the same time, each of its own tag."""
+    base = scratch_path(spark, "profile")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda column: profile.save_profile(column, base), wide_columns(spark, sf_dir)))
+    return profile.read_profile(spark, base)
 
 
 # Filters, scalar functions ---------------------------------------------------
@@ -750,6 +769,7 @@ QUERIES = {
         tag_catalog, attribute_tags, business_scan, rows_to_cells, cells_to_rows,
         relative_window_scan, csv_roundtrip, libsvm_roundtrip, tsv_parse, tsv_rejects,
         bulk_load_sorted, profile_upsert, profile_store, copy_fields, profile_wide,
+        profile_by_tag, profile_saved_at_once,
         bulk_load_twice, condition_filter, condition_list_filter, condition_text_filter, condition_parts, rule_map, date_shift,
         date_parse, decimal_clean_sum, last_activity, unix_recency, event_frequency,
         distinct_engagement, rfm_raw, rfe_raw, rfm_score, rfm_score_as_coded,
