@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import operator
 import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, StringType, StructType, TimestampNTZType, TimestampType
 
 COMPARISONS = {
     "eq": operator.eq,
@@ -97,11 +98,15 @@ def condition_column(condition: Condition, data_type: DataType) -> Column:
     return COMPARISONS[condition.compare](column, F.lit(condition.value).cast(data_type))
 
 
+def conditions_column(text: str, schema: StructType) -> Column:
+    """Predicate: every condition in ``text`` holds."""
+    parts = [condition_column(c, schema[c.field].dataType) for c in parse_conditions(text)]
+    return functools.reduce(operator.and_, parts)
+
+
 def filter_by(df: DataFrame, text: str) -> DataFrame:
     """Rows of ``df`` for which every condition in ``text`` holds."""
-    for condition in parse_conditions(text):
-        df = df.filter(condition_column(condition, df.schema[condition.field].dataType))
-    return df
+    return df.filter(conditions_column(text, df.schema))
 
 
 def parse_window(text: str, as_of: dt.date) -> Window:
@@ -130,21 +135,24 @@ def may_be_in_years(text: Column, first: int, last: int) -> Column:
     return ((text >= F.lit(str(first))) & (text < F.lit(str(last + 1)))) | (text < F.lit("1"))
 
 
-def filter_window(df: DataFrame, text: str, as_of: dt.date) -> DataFrame:
-    """Rows whose day falls into the relative window.
+def window_column(text: str, as_of: dt.date, data_type: DataType) -> Column:
+    """Predicate on a column of the given type: its day falls into the relative window.
 
     Timestamps are compared with constants and so pushed to the scan. Text has
     to be read as a date; only the years of the window are pushed for it.
     """
     window = parse_window(text, as_of)
     column = F.col(window.field)
-    data_type = df.schema[window.field].dataType
     if isinstance(data_type, StringType):
+        inside = column.try_cast("date").between(F.lit(window.first), F.lit(window.last))
         years = window.first.year, window.last.year
-        if years[0] >= 1000 and years[1] < 9999:
-            df = df.filter(may_be_in_years(column, *years))
-        return df.filter(column.try_cast("date").between(F.lit(window.first), F.lit(window.last)))
+        return may_be_in_years(column, *years) & inside if years[0] >= 1000 and years[1] < 9999 else inside
     if isinstance(data_type, DateType):
-        return df.filter(column.between(F.lit(window.first), F.lit(window.last)))
+        return column.between(F.lit(window.first), F.lit(window.last))
     after = window.last + dt.timedelta(days=1)
-    return df.filter((column >= F.lit(window.first)) & (column < F.lit(after)))
+    return (column >= F.lit(window.first)) & (column < F.lit(after))
+
+
+def filter_window(df: DataFrame, text: str, as_of: dt.date) -> DataFrame:
+    """Rows whose day falls into the relative window."""
+    return df.filter(window_column(text, as_of, df.schema[text.split("#")[0]].dataType))

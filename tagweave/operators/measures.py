@@ -7,28 +7,53 @@ user with a third of all rows sends no more to the shuffle than any other.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import NumericType, StringType
 
 from tagweave.functions.dates import AsOf, as_of_column, unix_moment
 from tagweave.functions.money import bad_money, money
 
 
-def latest(df: DataFrame, time: str, text_time: str) -> tuple[Column, Column]:
-    """The latest moment of a group, as an aggregate and as the day it denotes.
+#: Unix seconds of the years 1 to 9999.
+SECONDS = (-62135596800, 253402300799)
+
+
+def read_time(df: DataFrame, time: str, text_time: str) -> Column:
+    """The time of a row so that times compare: unix seconds, or a date or timestamp.
 
     Text is read before it is compared, since '999' sorts after '1562000000':
-    as unix seconds (``text_time="unix"``) or as a date and time (``"datetime"``).
+    as unix seconds (``text_time="unix"``), as a date and time (``"datetime"``),
+    or as whichever of the two it is (``"any"``). Text that is neither is null.
+    Numbers are unix seconds.
     """
-    newest = F.max(F.col("last_time"))
-    if not isinstance(df.schema[time].dataType, StringType):
-        return F.col(time), F.to_date(newest)
+    kind = df.schema[time].dataType
+    if isinstance(kind, NumericType):
+        return F.col(time).cast("bigint")
+    if not isinstance(kind, StringType):
+        return F.col(time)
+    seconds = F.col(time).try_cast("bigint")
     if text_time == "unix":
-        return F.col(time).try_cast("bigint"), F.to_date(unix_moment(newest))
+        return seconds
     if text_time == "datetime":
-        return F.col(time).try_cast("timestamp"), F.to_date(newest)
+        return F.col(time).try_cast("timestamp")
+    if text_time == "any":
+        moment = F.when(seconds.between(*SECONDS), unix_moment(seconds))
+        return F.when(seconds.isNull(), F.col(time).try_cast("timestamp")).otherwise(moment)
     raise ValueError(f"unknown text_time {text_time!r}")
 
 
+def latest(df: DataFrame, time: str, text_time: str) -> tuple[Column, Column]:
+    """The time of a row, and the day of the latest one of a group, as an aggregate."""
+    newest = F.max(F.col("last_time"))
+    kind = df.schema[time].dataType
+    seconds = isinstance(kind, NumericType) or (isinstance(kind, StringType) and text_time == "unix")
+    return read_time(df, time, text_time), F.to_date(unix_moment(newest) if seconds else newest)
+
+
+def unreadable_time(df: DataFrame, time: str, text_time: str) -> Column:
+    """Rows that have a time which cannot be read."""
+    return F.col(time).isNotNull() & read_time(df, time, text_time).isNull()
+
+
 def last_activity(df: DataFrame, user: str, time: str, text_time: str = "unix") -> DataFrame:
     """``userId`` and the latest time, as seconds or as a timestamp."""
     read, _ = latest(df, time, text_time)

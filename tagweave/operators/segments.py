@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.operators.features import assemble_features
 from tagweave.operators.lookup import is_small, join_lookup
 from tagweave.operators.numbering import number_rows
 from tagweave.operators.match import match_rules
-from tagweave.storage import literal_rows, local_copy, stage
+from tagweave.storage import literal_rows, stage
 
 # Partitions of the distinct score combinations, whatever those of the users: the
 # fit sees the same points in the same order.
@@ -24,18 +25,23 @@ SEEDS = (42, 43, 44)
 
 
 class Segmentation(NamedTuple):
-    """Users with their cluster and rank, and how the clusters came out."""
+    """Users with their cluster and rank, and how the clusters came out.
+
+    Clusters are numbered by their rank, so the numbers do not depend on the fit.
+    """
 
     assigned: DataFrame  # the input columns, ``cluster`` and ``rank``
     ranks: DataFrame  # cluster, center, center_sum, rank
     scores: list[str]
     cost: float
+    points: DataFrame  # score combinations, the number of users ``w`` and ``cluster``
+    skipped: int  # users that lack a score
 
     def silhouette(self) -> float | None:
-        """Mean silhouette over all users; none for a single cluster."""
+        """Mean silhouette over all users, from the score combinations; none for a single cluster."""
         if self.ranks.count() < 2:
             return None
-        return silhouette(assemble_features(self.assigned, self.scores), "cluster", "features")
+        return silhouette(assemble_features(self.points, self.scores), "cluster", "features", "w")
 
 
 def rank_clusters(centers: DataFrame) -> DataFrame:
@@ -81,12 +87,46 @@ def within_cluster_error(df: DataFrame, cluster: str, features: str) -> DataFram
     return spread.agg(F.sum(F.col("v") * (F.col("n") - 1)).alias("wssse"))
 
 
-def silhouette(df: DataFrame, cluster: str, features: str) -> float:
+def silhouette(df: DataFrame, cluster: str, features: str, weight: str | None = None) -> float:
     """Mean silhouette by squared Euclidean distance; needs two clusters.
 
-    It has no weighted form here: the weight of a point would count as its own copy.
+    A row of weight w counts as w equal rows. The mean squared distance of a point
+    x to a cluster with n rows, mean m and mean squared norm q is
+    ``|x|^2 - 2 x.m + q``, so one grouping for the clusters and one pass over the
+    rows do. The clusters' means come to the driver, one row each.
     """
-    return ClusteringEvaluator(predictionCol=cluster, featuresCol=features).evaluate(df)
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    square = lambda x: F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v * v)
+    x = vector_to_array(features)
+    rows = df.select(F.col(cluster).cast("string").alias("c"), F.col(features).alias("f"), w.alias("w"), square(x).alias("xx"))
+    known = rows.groupBy("c").agg(
+        F.sum("w").alias("n"),
+        (F.sum(F.col("w") * F.col("xx")) / F.sum("w")).alias("q"),
+        vector_to_array(Summarizer.mean(F.col("f"), F.col("w"))).alias("m"),
+    ).orderBy("c").collect()
+    if len(known) < 2:
+        raise ValueError("a silhouette needs two clusters")
+    width = len(known[0].m)
+    names = F.array(*[F.lit(r.c) for r in known])
+    sizes, norms = F.lit(np.array([r.n for r in known])), F.lit(np.array([r.q for r in known]))
+    means = F.lit(np.array([r.m for r in known], float).ravel())
+
+    def apart(i: Column) -> Column:
+        dots = F.zip_with(vector_to_array("f"), F.slice(means, i * width + 1, width), lambda a, b: a * b)
+        return F.col("xx") - 2 * F.aggregate(dots, F.lit(0.0), lambda acc, v: acc + v) + F.get(norms, i)
+
+    measured = rows.select(
+        "w",
+        (F.array_position(names, F.col("c")).cast("int") - 1).alias("own"),
+        F.transform(F.sequence(F.lit(0), F.lit(len(known) - 1)), apart).alias("d"),
+    )
+    size = F.get(sizes, F.col("own"))
+    others = F.array_min(F.filter(F.transform("d", lambda d, i: F.when(i != F.col("own"), d)), lambda d: d.isNotNull()))
+    inside = F.get("d", F.col("own")) * size / (size - 1)
+    pair = measured.select("w", size.alias("n"), F.when(size > 1, inside).alias("a"), others.alias("b"))
+    largest = F.greatest("a", "b")
+    value = F.when((F.col("n") > 1) & (largest > 0), (F.col("b") - F.col("a")) / largest).otherwise(0.0)
+    return pair.agg(F.sum(F.col("w") * value) / F.sum("w")).first()[0]
 
 
 def fit_kmeans(
@@ -144,26 +184,41 @@ def segment(
     if unscored and handle_invalid != "skip":
         raise ValueError(f"{int(unscored)} users lack a score")
     points = stage(counted.filter(~lacking), "points")
-    points = points.repartition(POINT_PARTITIONS, *scores).sortWithinPartitions(*scores)
     # Up to k points are clusters of their own: nothing to fit, and nothing better to find.
     first = points.select(*scores).limit(k + 1).collect()
     if not first:
         raise ValueError("no user has all scores")
     users = scored.filter(~lacking)
     if len(first) <= k:
-        centers, cost = sorted([float(x) for x in row] for row in first), 0.0
-        own = {**{s: [c[i] for c in centers] for i, s in enumerate(scores)}, "cluster": list(range(len(centers)))}
-        assigned = users.join(F.broadcast(literal_rows(scored.sparkSession, own)), scores)
+        centers, cost, model = [[float(x) for x in row] for row in first], 0.0, None
     else:
-        vectors = assemble_features(points, scores)
-        starts = seeds if seed is None else (seed,)
-        fits = [fit_kmeans(vectors, k=k, max_iter=max_iter, seed=start, weight="w") for start in starts]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-        centers, cost = [[float(x) for x in center] for center in model.clusterCenters()], model.summary.trainingCost
-        model.setFeaturesCol("_features").setPredictionCol("cluster")
-        assigned = model.transform(assemble_features(users, scores, "_features"))
-    found = literal_rows(scored.sparkSession, {"cluster": list(range(len(centers))), "center": centers})
-    ranks = local_copy(rank_clusters(found))
-    # One row per cluster.
-    assigned = assigned.join(F.broadcast(ranks.select(F.col("cluster").cast("int").alias("_ranked"), "rank")), F.col("cluster").cast("int") == F.col("_ranked"))
-    return Segmentation(assigned.select(*scored.columns, F.col("cluster").cast("bigint").alias("cluster"), "rank"), ranks, scores, cost)
+        dealt = points.repartition(POINT_PARTITIONS, *scores).sortWithinPartitions(*scores)
+        vectors = assemble_features(dealt, scores).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            starts = seeds if seed is None else (seed,)
+            fits = [fit_kmeans(vectors, k=k, max_iter=max_iter, seed=start, weight="w") for start in starts]
+            model = min(fits, key=lambda m: m.summary.trainingCost)
+            centers, cost = [[float(x) for x in center] for center in model.clusterCenters()], model.summary.trainingCost
+        finally:
+            vectors.unpersist()
+    # One entry per cluster; as in rank_clusters.
+    order = sorted(range(len(centers)), key=lambda c: (-sum(centers[c]), [-x for x in centers[c]], c))
+    ranked = [centers[c] for c in order]
+    place = {c: rank for rank, c in enumerate(order)}
+    spark = scored.sparkSession
+    columns = {"cluster": list(range(len(ranked))), "center": ranked, "center_sum": [sum(c) for c in ranked]}
+    ranks = literal_rows(spark, columns).withColumn("rank", F.col("cluster").cast("int"))
+
+    def clustered(rows: DataFrame) -> DataFrame:
+        if model is None:
+            own = {**{s: [c[i] for c in ranked] for i, s in enumerate(scores)}, "cluster": list(range(len(ranked)))}
+            return rows.join(F.broadcast(literal_rows(spark, own)), scores)
+        found = model.transform(assemble_features(rows, scores, "_features"))
+        places = F.array(*[F.lit(place[c]) for c in range(len(centers))])
+        return found.withColumn("cluster", F.get(places, F.col("_predicted")))
+
+    if model is not None:
+        model.setFeaturesCol("_features").setPredictionCol("_predicted")
+    cluster = F.col("cluster").cast("bigint").alias("cluster")
+    assigned = clustered(users).select(*scored.columns, cluster, F.col("cluster").cast("int").alias("rank"))
+    return Segmentation(assigned, ranks, scores, cost, clustered(points).select(*scores, "w", cluster), int(unscored or 0))

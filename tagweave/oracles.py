@@ -48,6 +48,27 @@ RFE_SCALED = f"""
     FROM ({RFE})
 """
 
+# One measure ten thousand times ahead: its bands are the clusters, best first.
+RFM_SEGMENTS = f"""
+    SELECT "userId", r_score, f_score * 10000 AS f_score, m_score, (5 - f_score)::INTEGER AS rank,
+           (['high', 'upper middle', 'middle', 'lower middle', 'low'])[(6 - f_score)::INTEGER] AS tag_name
+    FROM ({RFM_SCALED})
+"""
+
+RFE_SEGMENTS = f"""
+    SELECT *, (4 - e_score / 10000)::INTEGER AS rank,
+           (['very active', 'active', 'inactive', 'very inactive'])[(5 - e_score / 10000)::INTEGER] AS tag_name
+    FROM (
+        SELECT "userId", r_score, f_score,
+               CASE WHEN engagements >= 53 THEN 40000.0::DOUBLE WHEN engagements >= 49 THEN 30000
+                    WHEN engagements >= 45 THEN 20000 ELSE 10000 END AS e_score
+        FROM ({RFE_SCALED}) JOIN ({RFE}) USING ("userId"))
+"""
+
+TIME_KINDS = """
+    (VALUES ('timestamp', 0::BIGINT, 1::BIGINT), ('unix text', 1, 0), ('date text', 1, 0)) AS k(times, unreadable_times, rows_without_time)
+"""
+
 JOB_RULES = """
     SELECT c_mktsegment AS rule, min(c_custkey) + 1000 AS tag_id,
            'job: ' || lower(c_mktsegment) AS tag_name
@@ -369,21 +390,56 @@ ORACLES = {
         SELECT round(sum((x - mean) * (x - mean)), 6) AS wssse
         FROM ({SLOTS}) JOIN means USING (label, slot)
     """,
-    "silhouette_given_labels": """
-        WITH v AS (SELECT vec_id, label, embedding::DOUBLE[64] AS e FROM embeddings),
-        sizes AS (SELECT label, count(*) AS n FROM v GROUP BY label),
-        sums AS (
-            SELECT a.vec_id, a.label AS own, b.label AS other, sum(array_distance(a.e, b.e) ** 2) AS s
-            FROM v a, v b GROUP BY ALL
+    "silhouette_given_labels": f"""
+        WITH x AS (SELECT vec_id, label, slot, x FROM ({SLOTS})),
+        means AS (SELECT label, slot, avg(x) AS mean FROM x GROUP BY label, slot),
+        norms AS (SELECT vec_id, label, sum(x * x) AS xx FROM x GROUP BY vec_id, label),
+        clusters AS (SELECT label, count(*)::DOUBLE AS n, avg(xx) AS q FROM norms GROUP BY label),
+        dots AS (
+            SELECT x.vec_id, means.label AS other, sum(x.x * means.mean) AS dot
+            FROM x JOIN means USING (slot) GROUP BY ALL
+        ),
+        apart AS (
+            SELECT vec_id, norms.label AS own, other, n, xx - 2 * dot + q AS d
+            FROM dots JOIN norms USING (vec_id) JOIN clusters ON clusters.label = other
         ),
         parts AS (
-            SELECT vec_id,
-                   max(CASE WHEN own = other THEN s / (n - 1) END) AS a,
-                   min(CASE WHEN own <> other THEN s / n END) AS b
-            FROM sums JOIN sizes ON sizes.label = other GROUP BY vec_id
+            SELECT vec_id, max(CASE WHEN own = other THEN d * n / (n - 1) END) AS a,
+                   min(CASE WHEN own <> other THEN d END) AS b
+            FROM apart GROUP BY vec_id
         )
         SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM parts
     """,
+    "rfm_segments": f"""
+        SELECT "userId", r_score, f_score, m_score, rank::BIGINT AS cluster, rank FROM ({RFM_SEGMENTS})
+    """,
+    "rfe_segments": f"""
+        SELECT "userId", r_score, f_score, e_score, rank::BIGINT AS cluster, rank FROM ({RFE_SEGMENTS})
+    """,
+    "tag_rfm": f"""SELECT "userId", 362 + rank::BIGINT AS tag_id, tag_name FROM ({RFM_SEGMENTS})""",
+    "tag_rfe": f"""SELECT "userId", 368 + rank::BIGINT AS tag_id, tag_name FROM ({RFE_SEGMENTS})""",
+    "run_value_tag": f"""
+        SELECT times, "userId"::VARCHAR AS "userId", tag_name AS rfm, unreadable_times, rows_without_time,
+               1::BIGINT AS users_without_scores
+        FROM ({RFM_SEGMENTS}), {TIME_KINDS}
+    """,
+    "run_activity_tag": f"""
+        SELECT times, "userId"::VARCHAR AS "userId", tag_name AS rfe, unreadable_times, rows_without_time,
+               1::BIGINT AS users_without_scores
+        FROM ({RFE_SEGMENTS}), {TIME_KINDS}
+    """,
+    "run_all_tags": f"""
+        WITH cells AS (
+            SELECT c_custkey::VARCHAR AS "userId", 'gender: owes' AS gender, NULL::VARCHAR AS job, NULL::VARCHAR AS rfm,
+                   NULL::VARCHAR AS rfe
+            FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT c_custkey::VARCHAR, NULL, tag_name, NULL, NULL FROM ({JOB_LEFT})
+            UNION ALL SELECT "userId"::VARCHAR, NULL, NULL, tag_name, NULL FROM ({RFM_SEGMENTS})
+            UNION ALL SELECT "userId"::VARCHAR, NULL, NULL, NULL, tag_name FROM ({RFE_SEGMENTS})
+        )
+        SELECT "userId", max(gender) AS gender, max(job) AS job, max(rfm) AS rfm, max(rfe) AS rfe
+        FROM cells GROUP BY "userId"
+    """,
     "accuracy_given_labels": """
         SELECT avg(CASE WHEN quality = toxic THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM labels
     """,

@@ -35,6 +35,16 @@ RFE_SCALED = {
 }
 
 
+def apart(scored: list[bands.Band]) -> list[bands.Band]:
+    return [band._replace(score=band.score * 10_000) for band in scored]
+
+
+# The same with one measure far ahead of the others: its bands are the only clusters of least cost,
+# each of many score combinations, so SQL can say which users belong together.
+RFM_APART = RFM_SCALED | {"frequency": apart(RFM_SCALED["frequency"])}
+RFE_APART = RFE_SCALED | {"engagements": apart(bands.rising(45, 49, 53))}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -599,13 +609,13 @@ def cluster_rank_labels(spark, sf_dir):
 
 
 def order_segments(spark, sf_dir):
-    scored = stage(rfm_score_scaled(spark, sf_dir), "scores")
-    return segments.segment(scored, bands.score_columns(RFM_SCALED), k=5, max_iter=10).assigned
+    scored = stage(bands.add_scores(order_measures(spark, sf_dir), RFM_APART), "scores")
+    return segments.segment(scored, bands.score_columns(RFM_APART), k=5, max_iter=10).assigned
 
 
 def event_segments(spark, sf_dir):
-    scored = stage(rfe_score_scaled(spark, sf_dir), "scores")
-    return segments.segment(scored, bands.score_columns(RFE_SCALED), k=4, max_iter=20).assigned
+    scored = stage(bands.add_scores(event_measures(spark, sf_dir), RFE_APART), "scores")
+    return segments.segment(scored, bands.score_columns(RFE_APART), k=4, max_iter=20).assigned
 
 
 def segment_checks(found: segments.Segmentation, k: int) -> DataFrame:
@@ -741,13 +751,13 @@ def tag_job(spark, sf_dir):
 
 def tag_rfm(spark, sf_dir):
     return tag_models.tag_by_segment(
-        order_measures(spark, sf_dir), rank_catalog(spark, 361, VALUE_NAMES), RFM_SCALED, k=5, max_iter=10
+        order_measures(spark, sf_dir), rank_catalog(spark, 361, VALUE_NAMES), RFM_APART, k=5, max_iter=10
     )
 
 
 def tag_rfe(spark, sf_dir):
     return tag_models.tag_by_segment(
-        event_measures(spark, sf_dir), rank_catalog(spark, 367, ACTIVITY_NAMES), RFE_SCALED, k=4, max_iter=20
+        event_measures(spark, sf_dir), rank_catalog(spark, 367, ACTIVITY_NAMES), RFE_APART, k=4, max_iter=20
     )
 
 
@@ -757,10 +767,88 @@ def run_tag_models(spark, sf_dir):
     found = status_catalog(spark, sf_dir).unionByName(segment_catalog(spark, sf_dir))
     base = scratch_path(spark, "profile")
     for tag_id in (318, 321):
-        stored = tag_models.run_tag(
+        done = tag_models.run_tag(
             found, tag_id, base, as_of=ORDERS_AS_OF, tables=lambda _: users[tag_id]
         )
-    return stored
+    return done.profile
+
+
+def mining_catalog(spark: SparkSession) -> DataFrame:
+    """The two mining tags over the tables ``orders`` and ``logs``, their values the ranks."""
+    rules = {
+        361: "inType=table\ntable=orders\nselectFieldNames=memberid,finishtime,ordersn,orderamount",
+        367: "inType=table\ntable=logs\nselectFieldNames=global_user_id,log_time,loc_url",
+    }
+    tags = literal_rows(spark, {"id": list(rules), "name": ["value", "activity"], "rule": list(rules.values())}).select(
+        "id", F.lit(None).cast("bigint").alias("pid"), "name", "rule", F.lit(4).alias("level")
+    )
+    values = rank_catalog(spark, 361, VALUE_NAMES).unionByName(rank_catalog(spark, 367, ACTIVITY_NAMES))
+    return tags.unionByName(values)
+
+
+TIME_KINDS = ["timestamp", "unix text", "date text"]
+
+
+def written_time(moment: Column, kind: str) -> Column:
+    if kind == "timestamp":
+        return moment.cast("timestamp")
+    seconds = F.unix_date(F.to_date(moment)).cast("bigint") * 86400 + 43200
+    return seconds.cast("string") if kind == "unix text" else F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+
+
+def with_bad_user(rows: DataFrame, user: str, time: str) -> DataFrame:
+    """One row more, of a user whose only time cannot be read, or is missing where times are typed."""
+    kind = rows.schema[time].dataType.simpleString()
+    bad = {user: F.lit("nobody"), time: F.lit("never" if kind == "string" else None).cast(kind)}
+    return rows.unionByName(rows.limit(1).withColumns(bad))
+
+
+def mined_tables(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("memberid"), written_time(F.col("o_orderdate"), kind).alias("finishtime"),
+        F.col("o_orderkey").alias("ordersn"), F.col("o_totalprice").alias("orderamount"),
+    )
+    logs = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("global_user_id"), written_time(F.col("ts"), kind).alias("log_time"), F.col("props").alias("loc_url")
+    )
+    return {"orders": with_bad_user(orders, "memberid", "finishtime"), "logs": with_bad_user(logs, "global_user_id", "log_time")}
+
+
+def run_mining_tag(spark: SparkSession, sf_dir: str, tag_id: int, as_of: dt.date, preset) -> DataFrame:
+    """A mining tag from the catalogue to the profile, with times of three types and one bad user each time."""
+    column, parts = tag_models.TAG_MODELS[tag_id].column, []
+    for kind in TIME_KINDS:
+        done = tag_models.run_tag(
+            mining_catalog(spark), tag_id, scratch_path(spark, "profile"), as_of=as_of,
+            tables=mined_tables(spark, sf_dir, kind).__getitem__, handle_invalid="skip", text_time="any", preset=preset,
+        )
+        found = {name: F.lit(n).cast("bigint") for name, n in done.counts[tag_id].items()}
+        counts = [found[name].alias(name) for name in ("unreadable_times", "rows_without_time", "users_without_scores")]
+        parts.append(done.profile.select(F.lit(kind).alias("times"), "userId", column, *counts))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def run_value_tag(spark, sf_dir):
+    return run_mining_tag(spark, sf_dir, 361, ORDERS_AS_OF, RFM_APART)
+
+
+def run_activity_tag(spark, sf_dir):
+    return run_mining_tag(spark, sf_dir, 367, EVENTS_AS_OF, RFE_APART)
+
+
+def run_all_tags(spark, sf_dir):
+    """Four tags in one run: gender and job from one scan of the users, one save."""
+    users = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_acctbal") < 0, F.lit("owes")).otherwise("owns").alias("gender"), F.col("c_mktsegment").alias("job")
+    )
+    gender = value_catalog(users, 318, "gender", "inType=table\ntable=users\nselectFieldNames=id,gender", "gender", "id", leave_out="owns")
+    due = gender.unionByName(segment_catalog(spark, sf_dir)).unionByName(mining_catalog(spark))
+    places = {"users": users, **mined_tables(spark, sf_dir, "timestamp")}
+    done = tag_models.run_tags(
+        due, [318, 321, 361, 367], scratch_path(spark, "profile"), as_of=EVENTS_AS_OF, tables=places.__getitem__,
+        options={361: {"preset": RFM_APART}, 367: {"preset": RFE_APART}}, handle_invalid="skip",
+    )
+    return done.profile
 
 
 QUERIES = {
@@ -778,7 +866,8 @@ QUERIES = {
         assemble_features, l2_normalize, vector_index, stable_split, cluster_score_range,
         cluster_rank_labels, logreg_predict, dtree_predict, accuracy_given_labels,
         model_roundtrip, measurement_classifier, tree_classifier, tag_gender, tag_job,
-        tag_rfm, tag_rfe, run_tag_models, rfm_segment_checks, rfe_segment_checks, prediction_checks,
+        tag_rfm, tag_rfe, run_tag_models, run_value_tag, run_activity_tag, run_all_tags,
+        rfm_segment_checks, rfe_segment_checks, prediction_checks,
     )
 }
 QUERIES |= {

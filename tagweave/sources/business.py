@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
-from tagweave.functions.conditions import filter_by, filter_window, parse_conditions
+from tagweave.functions.conditions import conditions_column, parse_conditions, window_column
 from tagweave.sources.catalog import source_rule
 from tagweave.sources.cells import CELL_COLUMNS, VERSION_COLUMNS, cells_to_rows
 from tagweave.sources.layouts import text_schema
@@ -60,35 +63,69 @@ def describe_source(rule: dict[str, str]) -> SourceDescriptor:
     )
 
 
+def open_rows(
+    spark: SparkSession, sources: list[SourceDescriptor], tables: TableResolver | None = None
+) -> DataFrame:
+    """All rows of the one place that ``sources`` name, with the types they have there.
+
+    Named tables come from ``tables`` (``spark.table`` by default). A table of
+    cells is put together into rows of the fields that the sources ask for.
+    """
+    source = sources[0]
+    if source.kind == "parquet":
+        return spark.read.parquet(source.location)
+    if source.kind == "jdbc":
+        return spark.read.format("jdbc").options(dbtable=source.location, **source.options).load()
+    df = (tables or spark.table)(source.location)
+    if not (source.family and set(CELL_COLUMNS) <= set(df.columns)):
+        return df
+    asked: list[str] = []
+    for each in sources:
+        asked += each.fields
+        asked += [each.window.split("#")[0]] if each.window else []
+        asked += [c.field for c in parse_conditions(each.conditions)] if each.conditions else []
+    newest = [F.col(c) for c in VERSION_COLUMNS if c in df.columns]
+    version = F.struct(*newest) if newest else None
+    return cells_to_rows(df, source.family, list(dict.fromkeys(asked)), version=version)
+
+
+def source_filter(source: SourceDescriptor, schema: StructType, as_of: dt.date | None = None) -> Column | None:
+    """The window and the conditions of a source on its typed columns; None where it has neither."""
+    parts = []
+    if source.window:
+        parts.append(window_column(source.window, as_of or dt.date.today(), schema[source.window.split("#")[0]].dataType))
+    if source.conditions:
+        parts.append(conditions_column(source.conditions, schema))
+    return functools.reduce(operator.and_, parts) if parts else None
+
+
+def unreadable_window(source: SourceDescriptor, schema: StructType) -> Column | None:
+    """Rows whose window field is text that is no date; None unless that can happen."""
+    field = source.window and source.window.split("#")[0]
+    if not field or not isinstance(schema[field].dataType, StringType):
+        return None
+    return F.col(field).isNotNull() & F.col(field).try_cast("date").isNull()
+
+
 def read_source(
     spark: SparkSession,
     source: SourceDescriptor,
     *,
     as_of: dt.date | None = None,
     tables: TableResolver | None = None,
+    as_text: bool = True,
 ) -> DataFrame:
-    """The fields of a source as text columns, filtered by its conditions.
+    """The fields of a source, as text or with their own types, filtered by its conditions.
 
-    Named tables come from ``tables`` (``spark.table`` by default). A table of
-    cells is put together into rows first. Filters are applied to the typed
-    columns, below the projection to text, so that they reach the scan.
+    Filters are applied to the typed columns, below the projection, so that they
+    reach the scan.
     """
-    if source.kind == "parquet":
-        df = spark.read.parquet(source.location)
-    elif source.kind == "jdbc":
-        df = spark.read.format("jdbc").options(dbtable=source.location, **source.options).load()
-    else:
-        df = (tables or spark.table)(source.location)
-    if source.family and set(CELL_COLUMNS) <= set(df.columns):
-        asked = [source.window.split("#")[0]] if source.window else []
-        asked += [c.field for c in parse_conditions(source.conditions)] if source.conditions else []
-        newest = [F.col(c) for c in VERSION_COLUMNS if c in df.columns]
-        version = F.struct(*newest) if newest else None
-        df = cells_to_rows(df, source.family, list(dict.fromkeys([*source.fields, *asked])), version=version)
-    if source.window:
-        df = filter_window(df, source.window, as_of or dt.date.today())
-    if source.conditions:
-        df = filter_by(df, source.conditions)
+    df = open_rows(spark, [source], tables)
+    chosen = source_filter(source, df.schema, as_of)
+    if chosen is not None:
+        df = df.filter(chosen)
+    if not as_text:
+        return df.select(*source.fields)
     declared = text_schema(source.fields)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
 

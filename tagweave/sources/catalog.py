@@ -36,6 +36,11 @@ def read_catalog_jdbc(
     return found.orderBy("level", "id")
 
 
+def read_catalog_rows(spark: SparkSession, url: str, table: str = CATALOG_TABLE, **properties: str) -> DataFrame:
+    """The catalogue of a database table; conditions on ``id`` and ``pid`` are evaluated there."""
+    return spark.read.jdbc(url, table, properties=properties).select("pid", *CATALOG_COLUMNS)
+
+
 def value_rules(tags: DataFrame) -> DataFrame:
     """Level-5 rows: what a value is matched by, and the tag it stands for."""
     return tags.filter(F.col("level") == 5).select(

@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -133,6 +133,54 @@ def test_segment_quality_equals_that_of_the_users(spark):
     assert error <= found.cost * (1 + 1e-9)
 
 
+def test_weighted_silhouette_equals_the_evaluator_on_copies(spark):
+    draw = random.Random(12)
+    rows = [(draw.randint(0, 3), Vectors.dense([draw.gauss(3 * c, 1) for c in range(3)]), draw.choice([1, 1, 2, 7])) for _ in range(60)]
+    rows.append((9, Vectors.dense([0.0, 0.0, 0.0]), 1))  # a cluster of one
+    weighted = spark.createDataFrame(rows, ["c", "x", "w"])
+    copies = spark.createDataFrame([(c, x) for c, x, w in rows for _ in range(w)], ["c", "x"])
+    expected = ClusteringEvaluator(predictionCol="c", featuresCol="x").evaluate(copies)
+    assert math.isclose(segments.silhouette(weighted, "c", "x", "w"), expected, rel_tol=1e-9)
+    assert math.isclose(segments.silhouette(copies, "c", "x"), expected, rel_tol=1e-9)
+
+
+def test_silhouette_of_equal_points_and_of_one_cluster(spark):
+    same = spark.createDataFrame([(c, Vectors.dense([1.0])) for c in (0, 0, 1, 1)], ["c", "x"])
+    assert segments.silhouette(same, "c", "x") == 0
+    with pytest.raises(ValueError, match="two clusters"):
+        segments.silhouette(same.filter("c = 0"), "c", "x")
+
+
+def best_clustering(points, k):
+    """Least cost of k clusters of weighted numbers: contiguous in order, by dynamic programming."""
+    points = sorted(points)
+
+    def cost(i, j):
+        n = sum(w for _, w in points[i:j])
+        mean = sum(x * w for x, w in points[i:j]) / n
+        return sum(w * (x - mean) ** 2 for x, w in points[i:j])
+
+    best = {0: [0.0] + [math.inf] * len(points)}
+    for c in range(1, k + 1):
+        best[c] = [min((best[c - 1][i] + cost(i, j) for i in range(j)), default=0.0) for j in range(len(points) + 1)]
+    return best[k][len(points)]
+
+
+def test_one_score_reaches_the_least_cost(spark):
+    """Eleven score sums of uneven weight in four clusters."""
+    weights = {1: 40, 2: 3, 3: 25, 6: 1, 7: 30, 8: 9, 12: 50, 13: 2, 14: 17, 20: 5, 21: 12}
+    df = spark.createDataFrame([(float(x), f"u{x}-{i}") for x, w in weights.items() for i in range(w)], ["total", "userId"])
+    found = segments.segment(df, ["total"], k=4, max_iter=20)
+    assert math.isclose(found.cost, best_clustering([(float(x), w) for x, w in weights.items()], 4), rel_tol=1e-9)
+    assert [r.center_sum for r in found.ranks.collect()] == sorted((r.center_sum for r in found.ranks.collect()), reverse=True)
+
+
+def test_clusters_are_numbered_by_rank(spark):
+    found = segments.segment(varied(spark), SCORES, k=5, max_iter=10)
+    assert found.assigned.filter("cluster <> rank").isEmpty() and found.skipped == 0
+    assert found.points.agg(F.sum("w")).first()[0] == found.assigned.count()
+
+
 def test_fewer_points_than_clusters(spark):
     found = segments.segment(scored(spark, [(1, 1, 1), (3, 3, 3), (5, 5, 5), (5, 5, 5)]), SCORES, k=5, max_iter=10)
     assert {r.m_score: r["rank"] for r in found.assigned.collect()} == {5: 0, 3: 1, 1: 2}
