@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     LogisticRegression,
     LogisticRegressionModel,
 )
+from pyspark.ml.feature import IndexToString, Normalizer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -40,6 +42,36 @@ def fit_tree(
     ).fit(df.select(label, features))
 
 
+def classifier_pipeline(
+    rows: DataFrame, measurements: list[str], category: str, classifier: str = "logistic"
+) -> PipelineModel:
+    """Everything between raw rows and the name of a category, fitted and kept as one model.
+
+    The categories are indexed by frequency, the measurements put together and
+    brought to unit length, the classifier trained, and its prediction turned back
+    into the category. A stored copy scores rows that have the measurements only;
+    rows that lack one get no prediction but an error.
+    """
+    if classifier not in ("logistic", "tree"):
+        raise ValueError(f"unknown classifier {classifier!r}")
+    index = StringIndexer(inputCol=category, outputCol="label", stringOrderType="frequencyDesc").fit(rows)
+    prepared = [
+        VectorAssembler(inputCols=measurements, outputCol="raw_features", handleInvalid="error"),
+        Normalizer(inputCol="raw_features", outputCol="features", p=2.0),
+    ]
+    featured = index.transform(rows)
+    for step in prepared:
+        featured = step.transform(featured)
+    model = (fit_logistic if classifier == "logistic" else fit_tree)(featured)
+    name = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
+    # Steps that need no fitting are taken over as they are; the rows are read by the two fits above.
+    return PipelineModel([index, *prepared, model, name])
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Share of rows predicted right, as one row."""
     right = (F.col(label) == F.col(prediction)).cast("double")

@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagweave.operators.features import assemble_features
 from tagweave.operators.lookup import is_small, join_lookup
-from tagweave.operators.numbering import number_rows
+from tagweave.operators.numbering import number_rows, number_small
 from tagweave.operators.match import match_rules
 from tagweave.storage import literal_rows, stage
 
-# Partitions of the distinct score combinations, whatever those of the users: the
-# fit sees the same points in the same order.
-POINT_PARTITIONS = 16
+# Score combinations in a partition, whatever the partitions of the users: the fit
+# sees the same points in the same order.
+POINTS = 10_000
 # Starts of a clustering; the one with the least cost counts.
 SEEDS = (42, 43, 44)
 
@@ -44,15 +44,16 @@ class Segmentation(NamedTuple):
         return silhouette(assemble_features(self.points, self.scores), "cluster", "features", "w")
 
 
-def rank_clusters(centers: DataFrame) -> DataFrame:
+def rank_clusters(centers: DataFrame, small: bool = False) -> DataFrame:
     """Rank clusters by the sum of their centre, best first.
 
     ``centers`` has one row per cluster: ``cluster`` and the array ``center``.
-    Equal sums are ordered by the centre and then by the cluster.
+    Equal sums are ordered by the centre and then by the cluster. ``small``: it is
+    known to be small.
     """
     total = F.aggregate("center", F.lit(0.0), lambda acc, x: acc + x)
     summed = centers.select("cluster", "center", total.alias("center_sum"))
-    ranked = number_rows(summed, "rank", F.desc("center_sum"), F.desc("center"), "cluster")
+    ranked = (number_small if small else number_rows)(summed, "rank", F.desc("center_sum"), F.desc("center"), "cluster")
     return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -152,7 +153,7 @@ def tag_clusters(rows: DataFrame, cluster: str, features: str, rules: DataFrame)
     """
     centers = stage(cluster_centers(rows, cluster, features), "centers")
     small = is_small(centers)
-    named = name_ranks(rank_clusters(centers), rules).withColumnRenamed("cluster", "_cluster")
+    named = name_ranks(rank_clusters(centers, small), rules).withColumnRenamed("cluster", "_cluster")
     joined = join_lookup(rows, F.col(cluster), named, "_cluster", "inner", small)
     return joined.select(*rows.columns, "center_sum", "rank", "tag_id", "tag_name")
 
@@ -192,7 +193,7 @@ def segment(
     if len(first) <= k:
         centers, cost, model = [[float(x) for x in row] for row in first], 0.0, None
     else:
-        dealt = points.repartition(POINT_PARTITIONS, *scores).sortWithinPartitions(*scores)
+        dealt = points.repartition(-(-points.count() // POINTS), *scores).sortWithinPartitions(*scores)
         vectors = assemble_features(dealt, scores).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             starts = seeds if seed is None else (seed,)

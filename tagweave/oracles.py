@@ -467,4 +467,39 @@ ORACLES = {
             WHERE concat('0x', substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
         )
     """,
+    "logreg_predict": """
+        SELECT vec_id, (label % 3)::DOUBLE AS label, (label % 3)::DOUBLE AS prediction FROM embeddings
+        WHERE concat('0x', substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
+    """,
+    "dtree_predict": """
+        SELECT vec_id, (label % 3)::DOUBLE AS label, (label % 3)::DOUBLE AS prediction FROM embeddings
+        WHERE concat('0x', substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
+    """,
+    "pipeline_scores": """
+        SELECT classifier, vec_id, 'kind ' || label % 3 AS predicted
+        FROM embeddings, (VALUES ('logistic'), ('tree')) AS c(classifier)
+        WHERE concat('0x', substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
+    """,
+    "measurement_classifier": """
+        WITH counted AS (SELECT 'kind ' || label % 3 AS category, count(*) AS n FROM embeddings GROUP BY 1)
+        SELECT category, n, (row_number() OVER (ORDER BY n DESC, category) - 1)::DOUBLE AS label, label AS prediction
+        FROM counted
+    """,
+    "tree_classifier": """
+        WITH rows AS (
+            SELECT l_linenumber > 3 AS late,
+                   '{"label":' || CASE WHEN l_linenumber > 3 THEN '1.0' ELSE '0.0' END || ',"_slots":['
+                   || CASE l_returnflag WHEN 'A' THEN '2.0' WHEN 'R' THEN '1.0' ELSE '0.0' END || ','
+                   || l_quantity::DOUBLE::VARCHAR || ',' || l_discount::DOUBLE::VARCHAR || ','
+                   || l_linenumber::DOUBLE::VARCHAR || ']}' AS content
+            FROM lineitem
+        ), keyed AS (
+            SELECT late, md5(content) || ':' || row_number() OVER (PARTITION BY content) AS key FROM rows
+        ), places AS (
+            SELECT late, row_number() OVER (ORDER BY count(*) DESC, late) - 1 AS place FROM rows GROUP BY late
+        )
+        SELECT late::INTEGER::DOUBLE AS label, place::DOUBLE AS index_label, place::DOUBLE AS prediction, count(*) AS n
+        FROM keyed JOIN places USING (late)
+        WHERE concat('0x', substr(md5(key), 1, 8))::BIGINT >= 3435973836 GROUP BY ALL
+    """,
 }

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tagweave.operators.classify import accuracy, fit_logistic, fit_tree, load_logistic, save_model
+from tagweave.operators.classify import (
+    accuracy,
+    classifier_pipeline,
+    fit_logistic,
+    fit_tree,
+    load_logistic,
+    load_pipeline,
+    save_model,
+)
 from tagweave.operators.features import (
     assemble_features,
     fit_vector_index,
@@ -48,6 +57,22 @@ def measurement_classifier(
     return Trained(model, predictions, accuracy(predictions, "label").first().accuracy)
 
 
+def train_pipeline(
+    spark: SparkSession, path: str, schema: StructType | str, model_path: str, classifier: str = "logistic"
+) -> PipelineModel:
+    """Train on a CSV whose last column is the category and store the whole pipeline at ``model_path``."""
+    rows = stage(read_csv(spark, path, schema), "rows")
+    model = classifier_pipeline(rows, rows.columns[:-1], rows.columns[-1], classifier)
+    save_model(model, model_path)
+    return model
+
+
+def score_csv(spark: SparkSession, path: str, schema: StructType | str, model_path: str) -> DataFrame:
+    """The rows of a CSV, which need no category, with the category that a stored pipeline predicts."""
+    rows = read_csv(spark, path, schema)
+    return load_pipeline(model_path).transform(rows).select(*rows.columns, "predicted")
+
+
 def tree_classifier(spark: SparkSession, path: str, num_features: int | None = None) -> Trained:
     """Decision tree on LibSVM data: trained on 80 % of the rows, tested on the rest.
 

@@ -665,13 +665,26 @@ def rfe_segment_checks(spark, sf_dir):
 # Classification --------------------------------------------------------------
 
 
+def stepped_slots() -> Column:
+    """Embeddings whose first three slots say which of three classes a row has: a step, so any sound classifier finds it."""
+    x = F.col("embedding").cast("array<double>")
+    return F.transform(x, lambda v, i: F.when(i < 3, (i == F.col("label") % 3).cast("double")).otherwise(v * 0.1))
+
+
+def stepped_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", (F.col("label") % 3).cast("double").alias("label"), stepped_slots().alias("slots")
+    )
+    return features.vector_from_array(rows, "slots").drop("slots")
+
+
 def logreg_predict(spark, sf_dir):
-    train, test = features.stable_split(embedding_vectors(spark, sf_dir), "vec_id")
+    train, test = features.stable_split(stepped_vectors(spark, sf_dir), "vec_id")
     return classify.fit_logistic(train).transform(test).select("vec_id", "label", "prediction")
 
 
 def dtree_predict(spark, sf_dir):
-    train, test = features.stable_split(embedding_vectors(spark, sf_dir), "vec_id")
+    train, test = features.stable_split(stepped_vectors(spark, sf_dir), "vec_id")
     return classify.fit_tree(train).transform(test).select("vec_id", "label", "prediction")
 
 
@@ -704,14 +717,17 @@ def model_roundtrip(spark, sf_dir):
     return after.transform(before).select("vec_id", same)
 
 
-def measurement_classifier(spark, sf_dir):
-    """Embeddings as measurements, the category being which of three slots is greatest."""
-    x = F.col("embedding").cast("array<double>")
-    greatest = F.array_position(F.slice(x, 1, 3), F.array_max(F.slice(x, 1, 3)))
-    slots = [x[i].alias(f"x{i}") for i in range(4)]
+def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 slots as columns, the category last."""
+    slots = [F.col("slots")[i].alias(f"x{i}") for i in range(64)]
     rows = table(spark, sf_dir, "embeddings").select(
-        *slots, F.concat(F.lit("slot "), greatest).alias("category")
+        "vec_id", stepped_slots().alias("slots"), F.concat(F.lit("kind "), F.col("label") % 3).alias("category")
     )
+    return rows.select("vec_id", *slots, "category")
+
+
+def measurement_classifier(spark, sf_dir):
+    rows = measurements(spark, sf_dir).drop("vec_id")
     path = scratch_path(spark, "measurements")
     rows.write.csv(path)
     trained = classifiers.measurement_classifier(
@@ -722,11 +738,26 @@ def measurement_classifier(spark, sf_dir):
     )
 
 
+def pipeline_scores(spark, sf_dir):
+    """Raw rows without a category, scored by stored pipelines that were trained on the others."""
+    train, test = features.stable_split(measurements(spark, sf_dir), "vec_id")
+    known, new = scratch_path(spark, "known"), scratch_path(spark, "new")
+    train.drop("vec_id").write.csv(known)
+    test.drop("category").write.csv(new)
+    parts = []
+    for classifier in ("logistic", "tree"):
+        model = scratch_path(spark, "model")
+        classifiers.train_pipeline(spark, known, train.drop("vec_id").schema, model, classifier)
+        scored = classifiers.score_csv(spark, new, test.drop("category").schema, model)
+        parts.append(scored.select(F.lit(classifier).alias("classifier"), "vec_id", "predicted"))
+    return parts[0].unionByName(parts[1])
+
+
 def tree_classifier(spark, sf_dir):
-    """Line items by status, from quantity, discount, flag and line number."""
+    """Line items late in their order or not, from quantity, discount, flag and line number."""
     flag = F.when(F.col("l_returnflag") == "A", 2.0).when(F.col("l_returnflag") == "R", 1.0)
     rows = table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0).alias("label"),
+        (F.col("l_linenumber") > 3).cast("double").alias("label"),
         flag.otherwise(0.0).alias("flag"), "l_quantity", "l_discount", "l_linenumber",
     )
     vectors = features.assemble_features(rows, ["flag", "l_quantity", "l_discount", "l_linenumber"])
@@ -865,7 +896,7 @@ QUERIES = {
         rule_match_inner, rule_match_left, unmatched_values, string_index,
         assemble_features, l2_normalize, vector_index, stable_split, cluster_score_range,
         cluster_rank_labels, logreg_predict, dtree_predict, accuracy_given_labels,
-        model_roundtrip, measurement_classifier, tree_classifier, tag_gender, tag_job,
+        model_roundtrip, measurement_classifier, pipeline_scores, tree_classifier, tag_gender, tag_job,
         tag_rfm, tag_rfe, run_tag_models, run_value_tag, run_activity_tag, run_all_tags,
         rfm_segment_checks, rfe_segment_checks, prediction_checks,
     )

@@ -292,6 +292,45 @@ def test_tree_classifier(spark, tmp_path):
     assert after.filter("before <> prediction").count() == 0
 
 
+@pytest.mark.parametrize("classifier", ["logistic", "tree"])
+def test_a_stored_pipeline_scores_raw_rows(spark, tmp_path, classifier):
+    df = flowers(spark)
+    known, new = df.filter("a < 6.2"), df.filter("a >= 6.2 or b >= 6.2")
+    known.write.csv(str(tmp_path / "in"))
+    new.drop("category").write.csv(str(tmp_path / "new"))
+    trained = classifiers.train_pipeline(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "model"), classifier)
+    measures = new.drop("category").schema
+    found = classifiers.score_csv(spark, str(tmp_path / "new"), measures, str(tmp_path / "model"))
+    assert found.columns == ["a", "b", "c", "d", "predicted"] and found.count() == new.count()
+    expected = {(r.a, r.b): r.category for r in new.collect()}
+    assert {(r.a, r.b): r.predicted for r in found.collect()} == expected
+    same = {(r.a, r.b): r.predicted for r in trained.transform(new).collect()}
+    assert same == expected
+    with pytest.raises(ValueError, match="forest"):
+        classify.classifier_pipeline(df, ["a"], "category", "forest")
+
+
+def test_copies_are_numbered_in_lots(spark, monkeypatch):
+    """A third of the rows are equal; they are numbered 1 to n and dealt to many tasks."""
+    monkeypatch.setattr(features, "LOT", 64)
+    for key, value in (("autoBroadcastJoinThreshold", "-1"), ("adaptive.enabled", "false")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        df = spark.range(24_000, numPartitions=6).selectExpr("case when id % 3 = 0 then 0 else id div 2 end x", "'z' n")
+        found = features.numbered_copies(df, ["x"], "key", "copy")
+        assert found.columns == ["x", "n", "key", "copy"] and dict(found.dtypes)["copy"] == "int"
+        by_x = {}
+        for r in found.collect():
+            by_x.setdefault(r.x, []).append(r["copy"])
+        assert all(sorted(copies) == list(range(1, len(copies) + 1)) for copies in by_x.values())
+        assert len(by_x[0]) >= 8000
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        for key in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
+            spark.conf.unset(f"spark.sql.{key}")
+
+
 def test_accuracy_equals_the_evaluator(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)], ["label", "prediction"])
     expected = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(df)

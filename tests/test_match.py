@@ -70,32 +70,54 @@ def test_plan_by_size(spark, users, rules, strategy, plan_of):
     assert ("SortMergeJoin" in plan) == (strategy == "spread")
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_hot_values_stay_and_the_rest_is_joined(spark, monkeypatch, how):
-    """A third of the rows has one value and a third none; neither goes through the shuffle."""
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(lookup, "HOT_VALUES", 2)
+@pytest.fixture
+def fixed_tasks(spark):
     for key, value in (("autoBroadcastJoinThreshold", "-1"), ("adaptive.enabled", "false")):
         spark.conf.set(f"spark.sql.{key}", value)
-    try:
-        rules = spark.range(0, 400, 2).selectExpr("cast(id as string) rule", "id tag_id", "concat('t', id) tag_name")
-        users = spark.range(6000, numPartitions=8).selectExpr(
-            "id", "case id % 3 when 0 then '2' when 1 then cast(id % 400 as string) end v"
-        )
-        joined = match.match_rules(users, "v", rules, how)
-        found = {r.id: (r.v, r.tag_name) for r in joined.collect()}
-        expected = {}
-        for i in range(6000):
-            v = {0: "2", 1: str(i % 400), 2: None}[i % 3]
-            name = f"t{v}" if v and int(v) % 2 == 0 else None
-            if name or how == "left":
-                expected[i] = (v, name)
-        assert found == expected and joined.count() == len(expected)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert max(r["count"] for r in sizes) < 700
-    finally:
-        for key in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
-            spark.conf.unset(f"spark.sql.{key}")
+    yield
+    for key in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
+        spark.conf.unset(f"spark.sql.{key}")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_values_are_dealt_to_many_tasks(spark, monkeypatch, fixed_tasks, how):
+    """A third of the rows has one value and a third none."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    rules = spark.range(0, 400, 2).selectExpr("cast(id as string) rule", "id tag_id", "concat('t', id) tag_name")
+    users = spark.range(6000, numPartitions=8).selectExpr(
+        "id", "case id % 3 when 0 then '2' when 1 then cast(id % 400 as string) end v"
+    )
+    joined = match.match_rules(users, "v", rules, how)
+    found = {r.id: (r.v, r.tag_name) for r in joined.collect()}
+    expected = {}
+    for i in range(6000):
+        v = {0: "2", 1: str(i % 400), 2: None}[i % 3]
+        name = f"t{v}" if v and int(v) % 2 == 0 else None
+        if name or how == "left":
+            expected[i] = (v, name)
+    assert found == expected and joined.count() == len(expected)
+    sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] < 2 * len(expected) / 8
+
+
+def test_any_number_of_frequent_values(spark, monkeypatch, fixed_tasks, tmp_path):
+    """5,000 values that all count as frequent, against 6,000 rules; the source is read once."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "SPLIT", 1000)
+    folder, staged, stage = str(tmp_path / "users"), {}, lookup.stage
+    monkeypatch.setattr(lookup, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    spark.range(55_000).selectExpr("id", "cast(id % 5000 as string) v").write.parquet(folder)
+    rules = spark.range(6000).selectExpr("cast(id as string) rule", "id tag_id", "concat('t', id) tag_name")
+    joined = match.match_rules(spark.read.parquet(folder), "v", rules)
+    assert joined.count() == 55_000 and joined.filter("tag_id <> id % 5000 or tag_name <> concat('t', v)").isEmpty()
+    assert lookup.frequent_values(staged["rows"], "_value").count() == 5000
+    assert not any(folder in f for f in joined.inputFiles())
+
+
+def test_no_rows_against_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    rules = spark.range(4).selectExpr("cast(id as string) rule", "id tag_id", "'t' tag_name")
+    assert match.match_rules(spark.range(0).selectExpr("id", "'1' v"), "v", rules, "left").collect() == []
 
 
 def test_unmatched_values(users, rules):
