@@ -124,6 +124,41 @@ def test_no_main_text_is_lost(page):
     assert html_text.blocks(f"<html><body>{page}</body></html>")[1] == ["text"]
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ('<article><p>before <span class="ad"><div>buy</div></span> after</p></article>', ["before after"]),
+        ("<article><p>before <button><div>buy</div></button> after</p></article>", ["before after"]),
+        ("<article><p>before <noscript><p>turn it on</p></noscript>after</p></article>", ["before after"]),
+        ("<article><p>before <svg><title>t</title></svg>after</article>", ["before after"]),
+        ("<article><p>before <label><div>name</div></label>after</p><p>next</p></article>", ["before after", "next"]),
+        ('<article><p>one <span class="ad">buy<p>two</p><p>three</p></article>', ["one", "two", "three"]),
+        ('<article><p>one<aside><p>side</p></aside>two<p>three</article>', ["one", "two", "three"]),
+        ("<article><p>a</p></article><!-- open <p>b", ["a"]),
+        ('<script>"<!--"</script><article><p>a</p></article>', ["a"]),
+        ('<article><p>teaser</p></article><article><p>more</p></article><div><p>the real text of the page</p></div>', ["the real text of the page"]),
+        ('<article class="post related"><p>other things to read</p></article><article><p>text</p></article>', ["text"]),
+        ('<article class="post sponsored"><p>the only one</p></article>', ["the only one"]),
+        ("<main>bare <b>words</b><div>block</div>tail</main>", ["bare words", "block", "tail"]),
+    ],
+)
+def test_hidden_parts_take_nothing_with_them(page, expected):
+    assert html_text.blocks(f"<html><body>{page}")[1] == expected
+
+
+def test_repeats_decide_between_a_short_article_and_open_text(spark):
+    """The same long text beside the article of every page of a host is boilerplate; a page's own text is not."""
+    random.seed(6)
+    words = lambda n: " ".join("".join(random.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    foot, texts = words(60), [words(20) for _ in range(12)]
+    rows = [(i, f"http://h.example/{i}", f"<article><p>{t}</p></article><div><p>{foot}</p></div>") for i, t in enumerate(texts)]
+    rows += [(100 + i, f"http://own.example/{i}", f"<article><p>teaser {i}</p></article><div><p>{t} {words(40)}</p></div>") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.id: r.text for r in html_text.extract(df).collect()}
+    assert all(found[i] == t for i, t in enumerate(texts))
+    assert all(found[100 + i].startswith(t) and "teaser" not in found[100 + i] for i, t in enumerate(texts))
+
+
 def test_extract(pages, rows):
     found = Counter((r.id, r.url, r.text) for r in html_text.extract(pages).collect())
     assert found == Counter((i, u, "\n\n".join(html_text.blocks(h or "")[1])) for i, u, h in rows)
