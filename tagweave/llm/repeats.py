@@ -15,8 +15,12 @@ Strings are judged on the input, not on what is left, and never cross documents.
 4. Anchors with several different units: their texts are joined, separators
    between them, and sorted by suffix (``suffix.suffix_arrays``). Neighbours that
    agree in 100 bytes are one string; all but the earliest of a run are repeats.
-   An anchor with more than ``MOST_UNITS`` units is taken apart first: each of
-   its strings is filed under itself and counted as in 3.
+   An anchor with more than ``MOST_UNITS`` different units is opened first: each
+   unit becomes two, whose strings share 34 bytes more on the left or on the
+   right, and these are its anchors now; of equal ones the earliest stays, as in 3,
+   and what is large still is opened further. So a passage that a third of all
+   documents share is never sorted in one task, and no unit becomes more than two
+   rows a step.
 5. The repeats of a document are merged to spans and its bytes cut.
 
 No task holds more than one document's spans, or a batch of short units. The
@@ -47,7 +51,7 @@ from tagweave.storage import release, stage
 
 LENGTH, SEED_BYTES = 100, 32
 #: Different units of an anchor that are sorted together.
-MOST_UNITS = 512
+MOST_UNITS = 64
 #: Bytes of text hashed at a time, and sorted at a time.
 SLICE, SORTED = 1 << 17, 1 << 20
 
@@ -202,14 +206,15 @@ def _sort_units(length: int):
         return pa.RecordBatch.from_arrays([pa.array(no[unit[new]]), pa.array(first), pa.array(upto)], names=["no", "first", "upto"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, anchor = [], 0, None
+        held, size, last = [], 0, (None, None)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("anchor", "no", "start", "run", "piece")]
-            for row in zip(*columns, strict=True):
-                if size > SORTED and row[0] != anchor:
+            columns = [batch.column(c).to_pylist() for c in ("anchor", "no", "start", "run", "piece", "scale")]
+            for *row, scale in zip(*columns, strict=True):
+                # All texts of a batch advance together, so those of one scale make a batch.
+                if held and (scale != last[0] or size > SORTED and row[0] != last[1]):
                     yield spans(held)
                     held, size = [], 0
-                anchor = row[0]
+                last = scale, row[0]
                 held.append(row)
                 size += len(row[4])
         if held:
@@ -218,6 +223,56 @@ def _sort_units(length: int):
     return run
 
 
+def _split(anchor: int, start: int, run: int, piece: bytes, low: int, high: int, length: int) -> Iterator[tuple]:
+    """A unit's strings filed under more than the ``high - low`` bytes that they have in common.
+
+    Half of what a string has besides lies on one side of those bytes at least.
+    Strings with that half on the left are filed under it, too, the others under
+    the same on the right, so equal strings stay together. At the end a string is
+    filed under itself.
+    """
+    more = (length - (high - low) + 1) // 2
+    cut = min(max(low - more + 1, 0), run)
+    for side, (s, e) in enumerate(((0, cut), (cut, run))):
+        if s < e:
+            a, b = (low - more, high) if side == 0 else (low, high + more)
+            key = anchor.to_bytes(8, "little", signed=True) + bytes([side]) + piece[a:b]
+            digest = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True)
+            yield digest, start + s, e - s, piece[s : e + length - 1], a - s, b - s
+
+
+def _open_units(length: int):
+    """Units of large anchors, each as one or two with anchors of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (("anchor", "int64"), ("no", "int64"), ("start", "int64"), ("run", "int32"), ("piece", "binary"), ("low", "int32"), ("high", "int32"))
+        for batch in batches:
+            names = ("anchor", "no", "start", "run", "piece", "low", "high")
+            out: list[tuple] = []
+            for anchor, no, start, strings, piece, low, high in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
+                if low is None:  # not opened before: what the strings share is the anchor itself
+                    place, _ = anchors(np.frombuffer(piece[:length], np.uint8), length)
+                    low, high = int(place[0]), int(place[0]) + SEED_BYTES
+                out += [(a, no, *rest) for a, *rest in _split(anchor, start, strings, piece, low, high, length)]
+            columns = zip(*out, strict=True) if out else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
+
+    return run
+
+
+def _opened(units: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Different units (``n`` of them in an anchor) after one step of opening, and spans of those that are copies."""
+    schema = "anchor bigint, no bigint, start bigint, run int, piece binary, low int, high int"
+    rows = stage(units.select("anchor", "no", "start", "run", "piece", "low", "high").mapInArrow(_open_units(length), schema), "opened", "zstd")
+    first = rows.groupBy("anchor", "piece").agg(F.min(F.struct("no", "start", "run", "low", "high")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    first = stage(first.select("anchor", "piece", "first.*", "copies"), "kinds", "zstd")
+    several = first.filter("copies > 1").select("anchor", "piece", F.col("no").alias("no1"), F.col("start").alias("start1"))
+    again = rows.join(several, ["anchor", "piece"]).filter("no <> no1 or start <> start1")
+    upto = (F.col("start") + F.col("run") + length - 1).alias("upto")
+    counts = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return stage(first.drop("copies").join(counts, "anchor"), "units", "zstd"), stage(again.select("no", F.col("start").alias("first"), upto), "again", "zstd")
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are staged."""
     gc.collect()
@@ -262,15 +317,16 @@ def repeat_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     mixed = stage(mixed.select("anchor", "no", "start", "run", "piece", "n"), "mixed", "zstd")
     release(pieces, first)
     free_shuffles(spark)
-    few = mixed.filter(F.col("n") <= MOST_UNITS).drop("n").repartition("anchor").sortWithinPartitions("anchor", "no", "start")
-    spans = spans.unionByName(few.mapInArrow(_sort_units(length), "no bigint, first bigint, upto bigint"))
-
-    many = mixed.filter(F.col("n") > MOST_UNITS)
-    many = many.select("no", "start", "piece", F.explode(F.sequence(F.lit(0), F.col("run") - 1)).alias("k"))
-    many = many.select("no", (F.col("start") + F.col("k")).alias("start"), F.substring("piece", F.col("k") + 1, F.lit(length)).alias("string"))
-    earliest = many.groupBy("string").agg(F.min(F.struct("no", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = many.join(earliest, "string").filter(F.struct("no", "start") != F.col("first"))
-    return spans.unionByName(again.select("no", F.col("start").alias("first"), (F.col("start") + length).alias("upto")))
+    mixed = mixed.withColumns({c: F.lit(None).cast("int") for c in ("low", "high")})
+    while True:
+        few = mixed.filter(F.col("n") <= MOST_UNITS).withColumn("scale", F.floor(F.log2("n")).cast("int"))
+        few = few.repartition("anchor").sortWithinPartitions("scale", "anchor", "no", "start")
+        spans = spans.unionByName(few.mapInArrow(_sort_units(length), "no bigint, first bigint, upto bigint"))
+        many = mixed.filter(F.col("n") > MOST_UNITS)
+        if many.isEmpty():
+            return spans
+        mixed, again = _opened(many, length)
+        spans = spans.unionByName(again)
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

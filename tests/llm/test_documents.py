@@ -94,7 +94,7 @@ def test_repeats_on_odd_rows(spark, odd_docs, odd_rows):
     check_repeats(spark, odd_docs.filter("text is null or length(text) < 20000"), short)
 
 
-@pytest.mark.parametrize("most", [2, 512])
+@pytest.mark.parametrize("most", [2, 64])
 def test_repeats_of_a_hot_passage(spark, monkeypatch, most):
     monkeypatch.setattr(repeats, "MOST_UNITS", most)
     rng = np.random.default_rng(3)
@@ -107,6 +107,44 @@ def test_repeats_of_a_hot_passage(spark, monkeypatch, most):
     check_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def test_repeats_of_an_anchor_with_thousands_of_units(spark, monkeypatch):
+    """5,000 texts with one anchor, between some beginnings and ends: opened step by step, and no string lost."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnop"))
+    some = lambda n: "".join(rng.choice(letters, n))
+    least = lambda text: int(repeats.anchors(np.frombuffer(text.encode(), np.uint8), 32)[1].view(np.uint64)[0])
+    core = min((some(32) for _ in range(4000)), key=least)
+    lefts, rights = [some(60) for _ in range(30)], [some(60) for _ in range(30)]
+    rows = []
+    for i in range(5000):
+        own = [rng.choice(lefts) if rng.random() < 0.5 else some(60), rng.choice(rights) if rng.random() < 0.5 else some(60)]
+        rows.append((i, own[0][rng.integers(0, 50) :] + core + own[1][: rng.integers(10, 60)]))
+    monkeypatch.setattr(repeats, "MOST_UNITS", 8)
+    units, opened = [], repeats._opened
+    monkeypatch.setattr(repeats, "_opened", lambda many, length: units.append(many.agg(F.max("n")).first()[0]) or opened(many, length))
+    check_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert units[0] > 2000 and len(units) >= 2 and units == sorted(units, reverse=True)
+
+
+def test_every_string_of_a_split_unit_is_filed_once():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        run = int(rng.integers(1, 70))
+        piece = rng.integers(0, 256, run + 99, dtype=np.uint8).tobytes()
+        low = int(rng.integers(run - 1, 69))
+        waiting, done = [(7, 0, run, piece, low, low + 32)], []
+        while waiting:
+            for _, start, n, part, a, b in repeats._split(*waiting.pop(), 100):
+                assert part == piece[start : start + n + 99] and 0 <= a < b <= len(part)
+                # What is filed lies in every string of the unit.
+                assert a >= n - 1 and b <= 100
+                if b - a < 100:
+                    waiting.append((7, start, n, part, a, b))
+                else:
+                    done += range(start, start + n)
+        assert sorted(done) == list(range(run))
+
+
 # Near duplicates
 
 
