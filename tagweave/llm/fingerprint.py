@@ -35,7 +35,7 @@ from tagweave.llm.common import SPACE, text_or_empty
 from tagweave.operators.numbering import number_rows
 from tagweave.storage import stage
 
-PART_WORDS = 40
+PART_WORDS = 24
 BASE, WIDE, BUCKET = 6, 12, 16
 ROUNDS = 8
 

@@ -17,8 +17,10 @@ those compete (at most four for each party on average).
 Defined cases: a null text has no words; documents without words are never taken
 (``taken`` 0). A null source is a source of its own, after all others. Rows that
 repeat an id are documents of their own, which lie side by side in the stream.
-An empty table, or one without any word, gives targets of 0. Columns with other
-names are kept by ``mixed`` and never read.
+Rows are dealt to shards by id and text, so rows without an id spread, too. Ties in
+the seeded order go by id and size. Texts are read whole, however long. An empty
+table, or one without any word, gives targets of 0. Columns with other names are
+kept by ``mixed`` and never read.
 """
 
 from __future__ import annotations
@@ -100,40 +102,43 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     seed: int = 7,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """What the mix takes of each row: ``id, source, size, source_size, target, times, first_words, taken``.
 
     The row is taken ``times`` times as a whole and then once more its first
     ``first_words`` words. ``weights`` adds ``source_no`` and ``weight`` to rows of
     ``source, source_size``. The same rows give the same mix, however they are
-    partitioned.
+    partitioned. ``keep`` adds columns of the plan, such as ``shard``.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), text.alias("text"))
     rows = stage(rows, "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = stage(targets(weights(sizes), most), "sources")
+    smallest = sources.filter("target > 0").agg(F.min("target")).first()[0]
+    block = max(1, min(block_words, int((smallest or 0) // 8)))
     total = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
     seats = apportion(
-        sources.select(F.lit(0).alias("all"), "source_no", "target", F.round(total / block_words).cast("long").alias("seats")),
+        sources.select(F.lit(0).alias("all"), "source_no", "target", F.round(total / block).cast("long").alias("seats")),
         "all", "source_no", "target", "seats",
     ).select("source_no", F.col("quota").alias("seats"))
 
     known = F.broadcast(sources) if sources.count() <= 100_000 else sources
     named = rows.join(known.withColumnRenamed("source", "__of"), F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
-    dealt = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    dealt = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("text")))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
-    named = named.withColumns({"__order": dealt, "shard": F.pmod(F.conv(dealt.substr(1, 8), 16, 10).cast("long"), shards)})
+    named = named.withColumns({"__order": dealt, "shard": F.pmod(F.conv(dealt.substr(1, 8), 16, 10).cast("long"), shards)}).drop("text")
     full = named.filter("size > 0")
     units = full.groupBy("source_no", "shard").agg(F.sum("size").alias("words"))
     units = stage(units.join(seats, "source_no"), "shards")
     quotas = apportion(units, "source_no", "shard", "words", "seats").join(units.drop("seats"), ["source_no", "shard"])
-    blocks = F.ceil(F.col("words") / block_words)
-    quotas = quotas.withColumn("quota", F.least("quota", most * blocks))
+    given = F.least(F.col("quota") * block, most * F.col("words"))
     quotas = quotas.select(
         "source_no",
         "shard",
-        F.floor(F.col("quota") / blocks).alias("__times"),
-        ((F.col("quota") % blocks) * block_words).alias("__until"),
+        F.floor(given / F.col("words")).alias("__times"),
+        (given % F.col("words")).alias("__until"),
     )
     stream = Window.partitionBy("source_no", "shard").orderBy("__order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     full = full.withColumn("__from", F.coalesce(F.sum("size").over(stream), F.lit(0)))
@@ -142,7 +147,7 @@ def mix(
     # All of its words once more is one more time.
     whole = (first == F.col("size")).cast("long")
     none = F.lit(0).cast("long")
-    columns = ["id", "source", "size", "source_size", "target"]
+    columns = ["id", "source", "size", "source_size", "target", *(keep or [])]
     taken = full.select(*columns, (F.col("__times") + whole).cast("long").alias("times"), (first * (1 - whole)).cast("long").alias("first_words"))
     rest = named.filter("size = 0").select(*columns, none.alias("times"), none.alias("first_words"))
     return taken.unionByName(rest).withColumn("taken", F.col("times") * F.col("size") + F.col("first_words"))

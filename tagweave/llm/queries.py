@@ -35,7 +35,7 @@ def op4_suffix_dedup(spark, sf_dir):
 
 
 def op5_fingerprint(spark, sf_dir):
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents"), part_words=24).withColumnRenamed("id", "doc_id")
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def op6_packing(spark, sf_dir):
@@ -58,7 +58,8 @@ def op9_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     columns = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return warc.read_archive(spark, path).select(F.col("id").alias("page_id"), *columns)
+    record = F.sha2("record", 256).alias("record_sha256")
+    return warc.read_archive(spark, path).select(F.col("id").alias("page_id"), *columns, record)
 
 
 def op10_url_filters(spark, sf_dir):
@@ -91,7 +92,7 @@ ORACLES = {
     "op1_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-                   md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS dealt
+                   md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS dealt
             FROM documents),
         s AS (
             SELECT source, sum(size)::BIGINT AS source_size,
@@ -106,11 +107,12 @@ ORACLES = {
             SELECT source, no, source_size, total,
                    CASE WHEN 3 * source_size < unit * weight THEN (3 * source_size)::DOUBLE ELSE unit * weight END AS target
             FROM w, u),
+        bw AS (SELECT greatest(1, least(64, floor(min(target) / 8)))::BIGINT AS block FROM t WHERE target > 0),
         q AS (
-            SELECT no, target / (2 * k + 1) AS quotient, total,
+            SELECT no, target / (2 * k + 1) AS quotient, total, block,
                    row_number() OVER (ORDER BY target / (2 * k + 1) DESC, no, k) AS place
-            FROM t, LATERAL (SELECT unnest(range(0, round(total / 64)::BIGINT + 1)) AS k) WHERE target > 0),
-        seats AS (SELECT no, count(*) AS seats FROM q WHERE place <= round(total / 64) GROUP BY no),
+            FROM (t CROSS JOIN bw) AS tb, LATERAL (SELECT unnest(range(0, round(tb.total / tb.block)::BIGINT + 1)) AS k) WHERE target > 0),
+        seats AS (SELECT no, count(*) AS seats FROM q WHERE place <= round(total / block) GROUP BY no),
         n AS (
             SELECT d.*, t.no, t.source_size, t.target, coalesce(seats, 0) AS seats,
                    ('0x' || substr(dealt, 1, 8))::BIGINT % greatest(1, ceil(t.source_size / 1048576))::BIGINT AS shard
@@ -122,16 +124,15 @@ ORACLES = {
             FROM units, LATERAL (SELECT unnest(range(0, seats)) AS k)),
         quotas AS (SELECT no, shard, count(*) AS quota FROM uq WHERE place <= seats GROUP BY no, shard),
         b AS (
-            SELECT no, shard, ceil(words / 64)::BIGINT AS blocks,
-                   least(coalesce(quota, 0), 3 * ceil(words / 64)::BIGINT) AS quota
-            FROM units LEFT JOIN quotas USING (no, shard)),
+            SELECT no, shard, words, least(coalesce(quota, 0) * block, 3 * words) AS given
+            FROM units LEFT JOIN quotas USING (no, shard) CROSS JOIN bw),
         streamed AS (
             SELECT *, coalesce(sum(size) OVER (PARTITION BY no, shard ORDER BY dealt, doc_id, size
                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
             FROM n)
         SELECT doc_id, size, source_size, target,
                CASE WHEN size = 0 THEN 0
-                    ELSE quota // blocks * size + greatest(0, least(size, quota % blocks * 64 - start)) END::BIGINT AS taken
+                    ELSE given // words * size + greatest(0, least(size, given % words - start)) END::BIGINT AS taken
         FROM streamed LEFT JOIN b USING (no, shard)
     """,
     "op2_exact_dedup": """
@@ -165,13 +166,21 @@ ORACLES = {
     """,
     "op9_warc": """
         WITH p AS (
-            SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,
+            SELECT page_id, url, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes,
                    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
-            FROM pages)
-        SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
-        FROM p
+            FROM pages),
+        r AS (SELECT *, payload_bytes >= 1000 AND page_id <> last AS again, sha1(body) AS payload_digest, chr(13) || chr(10) AS nl FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to,
+               sha256('WARC/1.1' || nl || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || nl
+                      || 'WARC-Record-ID: <urn:page:' || page_id || '>' || nl || 'WARC-Date: 1970-01-01T00:00:00Z' || nl
+                      || 'WARC-Target-URI: ' || replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') || nl
+                      || 'WARC-Payload-Digest: sha1:' || payload_digest || nl
+                      || CASE WHEN again THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl
+                              || 'WARC-Refers-To: <urn:page:' || last || '>' || nl ELSE '' END
+                      || 'Content-Length: ' || payload_bytes || nl || nl
+                      || CASE WHEN again THEN '' ELSE body END || nl || nl) AS record_sha256
+        FROM r
     """,
     "op10_url_filters": r"""
         WITH rules(h, p, verdict) AS (VALUES

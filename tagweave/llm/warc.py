@@ -13,7 +13,7 @@ responses. A null payload is an empty one; a null URL leaves the header field
 empty; line breaks in a URL are percent-encoded so that they end no header.
 A record without an id has an empty one, and is a response only where no row of
 its group has one. An empty table gives an empty archive. Columns other than the
-three named ones are not archived.
+three named ones are not archived. Payloads of any length are kept whole.
 """
 
 from __future__ import annotations
@@ -85,7 +85,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     ``record`` is the record's bytes as an archive file holds them: the header,
     the payload (of a revisit: nothing) and two line ends. ``payload`` is the full
-    one for revisits too. A payload that no longer fits its address fails the read.
+    one for revisits too. A payload that no longer fits its address, or the digest
+    and length in its header, fails the read.
     """
     records, payloads = spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/payloads")
     checked = payloads.select(
@@ -95,23 +96,35 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.sha1("payload").alias("payload_digest"),
         F.sha2("payload", 256).alias("found"),
     )
-    fits = F.lower(F.hex("address")) == F.col("found")
-    # In both, so that a reader of either column has it checked.
-    sure = {c: F.when(fits, F.col(c)).otherwise(F.raise_error("a payload does not fit its address")) for c in ("payload", "payload_digest")}
-    checked = checked.withColumns(sure).drop("found")
     text = F.decode("header", "UTF-8")
     said = lambda pattern: F.regexp_extract(text, rf"\r\n{pattern}\r\n", 1)
-    revisit = said("WARC-Type: ([a-z]+)") == "revisit"
-    return records.join(checked, "address").select(
+    joined = records.join(checked, "address").withColumns(
+        {
+            "record_type": said("WARC-Type: ([a-z]+)"),
+            "said_digest": said("WARC-Payload-Digest: sha1:([0-9a-f]+)"),
+            "said_bytes": said("Content-Length: ([0-9]+)").try_cast("long"),
+        }
+    )
+    fits = F.lower(F.hex("address")) == F.col("found")
+    agrees = F.col("said_digest").eqNullSafe(F.col("payload_digest")) & F.col("said_bytes").eqNullSafe(F.col("payload_bytes"))
+    # In both, so that a reader of either column has it checked.
+    sure = {
+        c: F.when(~fits, F.raise_error("a payload does not fit its address"))
+        .when(~agrees, F.raise_error("a payload does not fit its header"))
+        .otherwise(F.col(c))
+        for c in ("payload", "payload_digest")
+    }
+    body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    return joined.withColumns(sure).select(
         "id",
         "header",
         "payload",
-        F.concat("header", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")), F.lit(b"\r\n\r\n")).alias("record"),
+        F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"),
         "payload_bytes",
         "payload_digest",
-        said("WARC-Type: ([a-z]+)").alias("record_type"),
+        "record_type",
         said("WARC-Target-URI: ([^\r\n]*)").alias("url"),
         said("WARC-Refers-To: <urn:page:(-?[0-9]+)>").try_cast("long").alias("refers_to"),
-        said("WARC-Payload-Digest: sha1:([0-9a-f]+)").alias("said_digest"),
-        said("Content-Length: ([0-9]+)").try_cast("long").alias("said_bytes"),
+        "said_digest",
+        "said_bytes",
     )

@@ -84,6 +84,18 @@ def test_a_changed_payload_fails_the_read(spark, pages):
         warc.read_archive(spark, f"{path}-2").collect()
 
 
+def test_a_changed_header_fails_the_read(spark, pages):
+    path = scratch_path(spark, "warc")
+    warc.write_archive(pages, path)
+    for k, change in enumerate(("replace(header, 'Content-Length: ', 'Content-Length: 9')", "regexp_replace(header, 'sha1:.', 'sha1:x')")):
+        records = spark.read.parquet(f"{path}/records").selectExpr("id", "cast(header as string) header", "address")
+        records.selectExpr("id", f"cast({change} as binary) header", "address").write.parquet(f"{path}-{k}/records")
+        spark.read.parquet(f"{path}/payloads").write.parquet(f"{path}-{k}/payloads")
+        for columns in (["payload"], ["payload_digest"], ["record"]):
+            with pytest.raises(Exception, match="does not fit its header"):
+                warc.read_archive(spark, f"{path}-{k}").filter("record_type = 'response'").select("id", *columns).collect()
+
+
 def test_a_changed_payload_fails_a_read_of_its_digest(spark, pages):
     path = scratch_path(spark, "warc")
     warc.write_archive(pages, path)
