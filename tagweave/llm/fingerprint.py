@@ -36,7 +36,7 @@ from tagweave.operators.numbering import number_rows
 from tagweave.storage import stage
 
 PART_WORDS = 24
-BASE, WIDE, BUCKET = 6, 12, 16
+BASE, WIDE, BUCKET = 6, 12, 12
 ROUNDS = 8
 
 
