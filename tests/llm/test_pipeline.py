@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     numbers = [int(m[1]) for m in map(re.compile(r"op(\d+)_").match, spark_entry.queries()) if m]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in spark_entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in spark_entry.queries()
 
 
 def test_stages_follow_their_rules(spark):
