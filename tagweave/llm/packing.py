@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -34,8 +36,10 @@ from tagweave.storage import stage
 
 END_ID = 1
 LENGTH = 2048
-#: Words kept with their ids in each Python worker, and the longest such word.
-CACHE_WORDS, CACHE_CHARS = 600_000, 64
+#: Words kept with their ids in each Python worker, in each of two generations, and the longest such word.
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
+#: A Latin letter before a comma or full stop. U+0130 is not among them: in lower case it ends with a mark that the sign would join.
+LETTER_SIGN = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([,.])"
 
 
 @functools.cache
@@ -48,49 +52,64 @@ def tokenizer(path: str):
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers, each different word tokenized once.
 
-    The tokenizer drops white space and lets no token reach across it, nor from
-    letters into a comma or full stop, so the ids of a text are those of its parts.
-    Parts not met before are tokenized many at a time.
+    The tokenizer drops white space and case and lets no token reach across white
+    space, nor from a letter into a comma or full stop, so the ids of a text are
+    those of its parts. Arrow cuts the texts and numbers the words, so Python sees
+    each different word of some texts once; the ids are then gathered by number.
+    Words not met before are tokenized many at a time. When those kept are too
+    many, they become the earlier generation: what is met again moves on, the rest
+    goes at the next change.
     """
 
     def __init__(self, path: str):
-        self.encode, self.known = tokenizer(path).encode, {}
+        self.encode, self.known, self.earlier = tokenizer(path).encode, {}, {}
 
     def of(self, texts: list[str]) -> list[bytes]:
+        lines = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        words = pc.split_pattern(pc.replace_substring_regex(lines, LETTER_SIGN, r"\1 \2"), " ")
+        coded = words.values.dictionary_encode()
+        found = self.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, numbers = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        joined = b"".join(self.gather(ids, starts, sizes, numbers[at : at + (1 << 18)]) for at in range(0, len(numbers), 1 << 18))
+        cuts = 4 * np.append(0, np.cumsum(sizes[numbers]))[words.offsets.to_numpy()]
+        return [joined[a:b] for a, b in itertools.pairwise(cuts.tolist())]
+
+    @staticmethod
+    def gather(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> bytes:
+        n = sizes[numbers]
+        before = np.cumsum(n) - n
+        return ids[np.repeat(starts[numbers] - before, n) + np.arange(n.sum())].tobytes()
+
+    def look_up(self, words: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, words = self.known, [text.split(" ") for text in texts]
-        new = {word: self.atoms(word) for word in set().union(*words).difference(known)}
-        self.tokenize(list({atom for atoms in new.values() for atom in atoms}.difference(known)))
-        for word, atoms in new.items():
-            known[word] = b"".join([known[atom] for atom in atoms])
-        ids = [b"".join([known[word] for word in of]) for of in words]
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
+        found = [known.get(word) for word in words]
+        # A special token is no word of letters, and only as it stands does it count as one.
+        missing = {i: words[i] for i, ids in enumerate(found) if ids is None}
+        missing = {i: word.lower() if word.isascii() and word.isalpha() else word for i, word in missing.items()}
+        new = set(missing.values()).difference(known)
+        for word in new.intersection(earlier):
+            known[word] = earlier[word]
+        self.tokenize(list(new.difference(earlier)))
+        for i, word in missing.items():
+            found[i] = known[word]
         for word in [word for word in new if len(word) > CACHE_CHARS]:
-            for part in {word, *new[word]}:
-                known.pop(part, None)
-        return ids
+            del known[word]
+        return found
 
-    @staticmethod
-    def atoms(word: str) -> list[str]:
-        parts = []
-        for line in word.split("\n"):
-            # U+0130 in lower case ends with a mark that a full stop would join.
-            if line[-1:] in (",", ".") and line[:-1].isalpha() and "\u0130" not in line:
-                parts += [line[:-1], line[-1]]
-            else:
-                parts.append(line)
-        return parts
-
-    def tokenize(self, atoms: list[str]) -> None:
-        for at in range(0, len(atoms), 256):
-            some = atoms[at : at + 256]
+    def tokenize(self, words: list[str]) -> None:
+        for at in range(0, len(words), 128):
+            some = words[at : at + 128]
             found = self.encode(" ".join(some), add_special_tokens=False)
             ids = np.asarray(found.ids, "<u4")
-            starts = np.cumsum([0] + [len(atom) + 1 for atom in some])
+            starts = np.cumsum([0] + [len(word) + 1 for word in some])
             cuts = 4 * np.searchsorted(np.fromiter((o[0] for o in found.offsets), np.int64, len(ids)), starts)
             joined = ids.tobytes()
-            for atom, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                self.known[atom] = joined[a:b]
+            for word, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                self.known[word] = joined[a:b]
 
 
 @functools.cache
@@ -98,7 +117,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def groups(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+def groups(texts: pa.Array, chars: int = 1 << 22) -> Iterator[list[str]]:
     """The texts in order, some at a time: about ``chars`` characters, or one longer text."""
     held, size = [], 0
     for text in texts:

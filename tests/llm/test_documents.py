@@ -296,6 +296,18 @@ def test_tokens_are_those_of_the_tokenizer():
     assert packing.WordIds(TOKENIZER).of(texts) == expected
 
 
+def test_word_ids_of_any_letter_and_after_a_change_of_generation(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    word_ids, encode = packing.WordIds(TOKENIZER), packing.tokenizer(TOKENIZER).encode
+    letters = [chr(c) for c in range(1, 0x3000)]
+    texts = [f"x{c}, {c}.y\nX{c} A{c.upper()}" for c in letters] + ["<|ENDOFTEXT|> <|endoftext|>, The the THE"]
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        expected = [np.asarray(encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+        assert word_ids.of(some) == expected == word_ids.of(some)
+    assert word_ids.earlier
+
+
 def test_place_fills_sequences():
     rng = np.random.default_rng(2)
     for histogram in ({100: 1000}, {1: 5}, {2048: 3, 2047: 2, 1: 2}, Counter(rng.integers(1, 2049, 3000).tolist())):
