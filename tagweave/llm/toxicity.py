@@ -8,6 +8,10 @@ on the documents' likelihood, which pushes up those sentences of a toxic documen
 that already stand out. Applied again, the sentence scores locate the offending
 sentences.
 
+The level of the scores comes from held-back rows: the training rows are cut into
+``FOLDS`` parts by their text, each part is scored by a fit to the others, and the
+bias moves so that a score of 0.7 parts the labels best (largest F1).
+
 The fit sees a bounded sample: ``most_rows`` labelled documents (those with the
 smallest hash of their id) of at most ``most_chars`` characters; from these,
 ``most_features`` features that tell the labels apart best. It runs in one task,
@@ -27,6 +31,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,6 +44,8 @@ from tagweave.llm.common import text_or_empty
 
 MOST_ROWS, MOST_CHARS, MOST_FEATURES = 8_000, 20_000, 4_000
 THRESHOLD = 0.7
+#: Parts of the training rows, each scored by a fit to the others.
+FOLDS = 3
 #: Longest word looked up as a whole, and the words kept with their weight in each worker.
 WORD_CHARS, CACHE_WORDS = 64, 500_000
 
@@ -64,7 +71,7 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(texts: list[str], labels: list[int], most_features: int = MOST_FEATURES, steps: int = 300, penalty: float = 5e-5, toxic_weight: float = 2.0) -> dict:
+def fit(texts: list[str], labels: list[int], most_features: int = MOST_FEATURES, steps: int = 300, penalty: float = 5e-5, toxic_weight: float = 6.0) -> dict:
     """Weights by feature, and the bias under the empty name. Toxic documents, the rarer kind, count ``toxic_weight`` times."""
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
@@ -136,11 +143,15 @@ class Scorer:
             self.known[word] = found
         return found
 
-    def mass(self, sentence: str) -> float:
+    def odds(self, sentence: str) -> float:
         known, z = self.known, self.bias
         for word in _WORD.findall(sentence):
             found = known.get(word)
             z += self.word(word) if found is None else found
+        return z
+
+    def mass(self, sentence: str) -> float:
+        z = self.odds(sentence)
         return z if z > 30 else math.log1p(math.exp(z))
 
     def document(self, text: str) -> float:
@@ -164,6 +175,48 @@ class Scorer:
         return found
 
 
+def shifts(odds: np.ndarray, of_doc: np.ndarray, n: int, threshold: float = THRESHOLD) -> np.ndarray:
+    """For each document, how far its sentences' log-odds must move for its score to reach the threshold."""
+    low, high, wanted = np.full(n, -50.0), np.full(n, 50.0), -math.log1p(-threshold)
+    for _ in range(40):
+        middle = (low + high) / 2
+        reached = np.bincount(of_doc, _softplus(odds + middle[of_doc]), n) >= wanted
+        low, high = np.where(reached, low, middle), np.where(reached, middle, high)
+    return high
+
+
+def best_shift(needed: np.ndarray, labels: np.ndarray) -> float:
+    """The move after which the documents that needed no more than it have the largest F1, half way to the next one."""
+    if not labels.any() or labels.all():
+        return 0.0
+    order = np.argsort(needed, kind="stable")
+    needed, toxic = needed[order], np.cumsum(labels[order])
+    last = np.append(needed[1:] > needed[:-1], True)  # documents that need the same move go together
+    marked = np.flatnonzero(last)
+    best = marked[np.argmax(2 * toxic[marked] / (marked + 1 + toxic[-1]))]
+    return float((needed[best] + needed[min(best + 1, len(needed) - 1)]) / 2)
+
+
+def fit_level(texts: list[str], labels: list[int], most_features: int = MOST_FEATURES) -> dict:
+    """``fit`` with the bias placed on held-back rows."""
+    weights, parts = fit(texts, labels, most_features), [zlib.crc32(text.encode()) % FOLDS for text in texts]
+    odds, of_doc, marks = [], [], []
+    for fold in range(FOLDS):
+        rest = [i for i, part in enumerate(parts) if part != fold]
+        model = Scorer(fit([texts[i] for i in rest], [labels[i] for i in rest], most_features))
+        if model.bias == -math.inf:
+            continue
+        for i in (i for i, part in enumerate(parts) if part == fold):
+            lines = [model.odds(texts[i][a:b].lower()) for a, b in sentences(texts[i])] or [model.bias]
+            odds += lines
+            of_doc += [len(marks)] * len(lines)
+            marks.append(labels[i])
+    if marks:
+        needed = shifts(np.asarray(odds), np.asarray(of_doc), len(marks))
+        weights[""] += best_shift(needed, np.asarray(marks))
+    return weights
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -183,14 +236,15 @@ def learn(
     short = rows.select("id").distinct().join(known, "id").select("id", "label")
     chosen = short.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(most_rows)
     sample = rows.join(F.broadcast(chosen), "id").groupBy("id", "text").agg(F.max("label").alias("label"))
-    sample = sample.orderBy("id", "text").select("text", "label").coalesce(1)
+    # The sample is bounded, so one task sorts it; a range sort would send texts to the driver.
+    sample = sample.coalesce(1).sortWithinPartitions("id", "text").select("text", "label")
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts, marks = [], []
         for batch in batches:
             texts += batch["text"].tolist()
             marks += batch["label"].astype(int).tolist()
-        yield pd.DataFrame({"model": [json.dumps(fit(texts, marks, most_features))]})
+        yield pd.DataFrame({"model": [json.dumps(fit_level(texts, marks, most_features))]})
 
     found = sample.mapInPandas(train, "model string").collect()
     return json.loads(found[0].model) if found else {"": -math.inf}
