@@ -1,7 +1,6 @@
 """Operators on documents against plain Python over small and odd tables."""
 
 import hashlib
-import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -388,36 +387,6 @@ def test_toxicity_finds_the_sentence(spark):
     assert ["vile" in rows[405][1][o.first : o.upto] for o in hit.offending] == [True]
 
 
-def test_scores_are_the_plain_noisy_or():
-    rng = np.random.default_rng(8)
-    words = ["vile", "The", "of", "greatest", "\u00e9t\u00e9", "x1", "a" * 80]
-    names = sorted({f for w in words for f in toxicity.features(w.lower())})
-    weights = {"": -1.5, **{n: float(rng.normal()) for n in names}}
-    scorer = toxicity.Scorer(weights)
-    for _ in range(200):
-        text = "".join(str(rng.choice([*words, " ", " ", ". ", "?!", "\n", "--"])) + " " for _ in range(rng.integers(0, 30)))
-        lines = [re.findall(r"\w+", line) for line in re.split(r"[.!?\n]", text.lower())]
-        good = 1.0
-        for line in [line for line in lines if line] or [[]]:
-            odds = weights[""] + sum(weights.get(f, 0.0) for w in line for f in toxicity.features(w))
-            good *= 1 - 1 / (1 + math.exp(-odds))
-        assert abs(scorer.document(text) - (1 - good)) < 1e-9
-
-
-def test_the_level_parts_held_back_rows():
-    rng = np.random.default_rng(9)
-    odds, of_doc = rng.normal(-3, 2, 500), np.sort(rng.integers(0, 60, 500))
-    needed = toxicity.shifts(odds, of_doc, 60)
-    for doc in set(of_doc.tolist()):
-        after = 1 - np.prod(1 - 1 / (1 + np.exp(-(odds[of_doc == doc] + needed[doc]))))
-        assert abs(after - 0.7) < 1e-6
-    for _ in range(50):
-        needed, labels = rng.integers(-4, 4, 30).astype(float), rng.integers(0, 2, 30)
-        f1 = lambda at: 2 * labels[needed <= at].sum() / ((needed <= at).sum() + labels.sum())
-        assert f1(toxicity.best_shift(needed, labels)) == max(f1(at) for at in needed)
-    assert toxicity.best_shift(np.array([1.0, 2.0]), np.array([0, 0])) == 0.0
-
-
 def test_toxicity_on_odd_rows(spark, odd_docs, odd_rows):
     labels = spark.createDataFrame([(4, 1), (4, 1), (5, 0), (6, 0), (8, None), (11, 1), (11, 0), (None, 1)], "doc_id long, toxic int")
     found = toxicity.score(odd_docs, toxicity.learn(odd_docs, labels))
