@@ -3,16 +3,17 @@
 Nulls count as empty texts. Equal texts form one group whatever their other
 columns say; of a group the row with the largest id stays (or the smallest).
 Rows without an id stay only if no row of their group has one. Rows that repeat
-an id and its text carry the same verdict; ``deduplicate`` keeps one of them. An
-empty table gives an empty result. Columns other than the two named ones are
-never read by ``duplicates`` and are kept as they are by ``deduplicate``.
+an id and its text carry the same verdict; ``deduplicate`` keeps one of them.
+Texts are hashed and compared whole, however long. An empty table gives an empty
+result. Columns other than the two named ones are never read by ``duplicates`` and
+are kept as they are by ``deduplicate``, whatever they are called.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import content_hash, equal_texts, text_or_empty
+from tagweave.llm.common import content_hash, equal_texts, text_or_empty, with_plain_names
 from tagweave.storage import stage
 
 
@@ -44,14 +45,14 @@ def duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = True) -> DataFrame:
     """The rows that stay, with all their columns: one for each different text."""
     verdicts = stage(duplicates(docs, id_col, text_col, largest), "verdicts")
-    key = [F.col("id").alias("__id"), F.col("text_sha256").alias("__sha")]
+    rows, row_id, text = with_plain_names(docs, id_col, text_col)
+    key = [F.col("id").alias("of"), F.col("text_sha256").alias("sha")]
     leaving = verdicts.filter("not kept").select(*key).distinct()
     twice = verdicts.filter("kept and group_size > 1").groupBy(*key).count().filter("count > 1").drop("count")
-    marked = docs.withColumn("__of", F.sha2(text_or_empty(text_col), 256))
-    here = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha"))
+    marked = rows.withColumn("own", F.sha2(text_or_empty(text), 256))
+    here = F.col(row_id).eqNullSafe(F.col("of")) & (F.col("own") == F.col("sha"))
     staying = marked.join(leaving, here, "left_anti")
-    if twice.isEmpty():
-        return staying.drop("__of")
-    once = staying.join(twice, here, "left_anti")
-    repeated = staying.join(twice, here, "left_semi").dropDuplicates([id_col, "__of"])
-    return once.unionByName(repeated).drop("__of")
+    if not twice.isEmpty():
+        repeated = staying.join(twice, here, "left_semi").dropDuplicates([row_id, "own"])
+        staying = staying.join(twice, here, "left_anti").unionByName(repeated)
+    return staying.drop("own").toDF(*docs.columns)

@@ -20,14 +20,15 @@ repeat an id are documents of their own, which lie side by side in the stream.
 Rows are dealt to shards by id and text, so rows without an id spread, too. Ties in
 the seeded order go by id and size. Texts are read whole, however long. An empty
 table, or one without any word, gives targets of 0. Columns with other names are
-kept by ``mixed`` and never read.
+kept by ``mixed``, whatever they are called, and never read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tagweave.llm.common import SPACE, WORD
+from tagweave.llm.common import SPACE, WORD, with_plain_names
+from tagweave.operators.features import numbered_copies
 from tagweave.operators.numbering import number_rows
 from tagweave.storage import stage
 
@@ -39,6 +40,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def seeded_order(row_id: Column, digest: Column, seed: int) -> Column:
+    """Where a row comes in the seeded order: by its id and the MD5 of its text."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id.cast("string"), F.lit("")), F.lit(":"), digest))
+
+
+def text_digest(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def cyclic_weights(sizes: DataFrame, cycle: int = 3) -> DataFrame:
     """Sources numbered by code point, null last, with weights 1, 2, ... ``cycle``, repeating."""
     numbered = number_rows(sizes, "source_no", F.col("source").asc_nulls_last())
@@ -111,8 +121,8 @@ def mix(
     ``source, source_size``. The same rows give the same mix, however they are
     partitioned. ``keep`` adds columns of the plan, such as ``shard``.
     """
-    text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), text.alias("text"))
+    text = text_digest(text_col).alias("text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), text)
     rows = stage(rows, "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = stage(targets(weights(sizes), most), "sources")
@@ -126,7 +136,7 @@ def mix(
 
     known = F.broadcast(sources) if sources.count() <= 100_000 else sources
     named = rows.join(known.withColumnRenamed("source", "__of"), F.col("source").eqNullSafe(F.col("__of"))).drop("__of")
-    dealt = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("text")))
+    dealt = seeded_order(F.col("id"), F.col("text"), seed)
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
     named = named.withColumns({"__order": dealt, "shard": F.pmod(F.conv(dealt.substr(1, 8), 16, 10).cast("long"), shards)}).drop("text")
     full = named.filter("size > 0")
@@ -153,30 +163,29 @@ def mix(
     return taken.unionByName(rest).withColumn("taken", F.col("times") * F.col("size") + F.col("first_words"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, **options
+) -> DataFrame:
     """The mix itself, with all columns of ``docs``: each row as often as it is taken.
 
     A document that is taken in part is there with its first words, up to the
-    space behind them. Rows that repeat an id share what their id is taken.
+    space behind them. Rows that agree in id, text and source share what is taken
+    of them in no particular order.
     """
-    plan = mix(docs, id_col, text_col, **options).filter("taken > 0")
-    plan = plan.select(F.col("id").alias("__id"), F.col("size").alias("__size"), "times", "first_words")
-    plan = plan.withColumnsRenamed({"times": "__times", "first_words": "__first"})
-    same = Window.partitionBy("__id", "__size").orderBy("__times", "__first")
-    plan = plan.withColumn("__nth", F.row_number().over(same))
-    rows = docs.withColumn("__words", word_count(F.col(text_col)))
-    # Rows are told apart only where an id repeats with as many words.
-    several = plan.filter("__nth > 1").select(F.col("__id").alias("__i"), F.col("__size").alias("__s")).distinct()
-    if not several.isEmpty():
-        nth = Window.partitionBy(id_col, "__words").orderBy(F.md5(F.col(text_col)))
-        rows = rows.withColumn("__n", F.row_number().over(nth))
-        extra = F.col("__n") == F.col("__nth")
-    else:
-        extra = F.lit(True)
-    found = rows.join(plan, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")) & extra)
-    pieces = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"[{SPACE}]*{WORD}[{SPACE}]*"), F.lit(0)), F.lit(1), F.col("__first").cast("int"))
-    cut = F.when(F.col("__first") > 0, F.array_join(pieces, ""))
-    whole = F.array_repeat(F.col(text_col), F.col("__times").cast("int"))
-    texts = F.when(F.col("__first") > 0, F.concat(whole, F.array(cut))).otherwise(whole)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    return found.select(*kept, F.explode(texts).alias(text_col)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = mix(docs, id_col, text_col, source_col, seed=seed, keep=["__order"], **options).filter("size > 0")
+    plan = stage(plan.select(F.col("source").alias("of_source"), F.col("__order").alias("of"), "times", "first_words", "taken"), "plan")
+    rows, row_id, text, source = with_plain_names(docs, id_col, text_col, source_col)
+    names = rows.columns
+    rows = rows.withColumn("order", seeded_order(F.col(row_id), text_digest(text), seed))
+    here = (F.col("order") == F.col("of")) & F.col(source).eqNullSafe(F.col("of_source"))
+    if not plan.groupBy("of", "of_source").count().filter("count > 1").isEmpty():
+        # Equal rows are told apart by a number.
+        plan = numbered_copies(plan, ["of", "of_source"], "of_content", "of_nth")
+        rows = numbered_copies(rows, ["order", source], "content", "nth")
+        here &= F.col("nth") == F.col("of_nth")
+    found = rows.join(plan.filter("taken > 0"), here)
+    pieces = F.slice(F.regexp_extract_all(F.col(text), F.lit(rf"[{SPACE}]*{WORD}[{SPACE}]*"), F.lit(0)), F.lit(1), F.col("first_words").cast("int"))
+    whole = F.array_repeat(F.col(text), F.col("times").cast("int"))
+    texts = F.when(F.col("first_words") > 0, F.concat(whole, F.array(F.array_join(pieces, "")))).otherwise(whole)
+    copies = found.select(*[c for c in names if c != text], F.explode(texts).alias(text))
+    return copies.select(*names).toDF(*docs.columns)

@@ -22,8 +22,10 @@ Components come from alternating large-star and small-star.
 Defined cases: a null or empty text, and one of spaces only, has an empty set,
 is linked with nothing and is a component of its own. Rows that repeat an id
 belong to whatever their texts belong to; rows without an id come last. The
-smallest id of a component names it. An empty table gives an empty result. Only
-the two named columns are read.
+smallest id of a component names it; two components may have one name where rows
+repeat an id. Texts are read whole, however long. An empty table gives an empty
+result. Only the two named columns are read; ``deduplicate`` keeps the others as
+they are, whatever they are called.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagweave.llm.common import text_or_empty
+from tagweave.llm.common import text_or_empty, with_plain_names
 from tagweave.llm.components import components
 from tagweave.llm.repeats import free_shuffles
 from tagweave.operators.numbering import number_rows
@@ -317,10 +319,10 @@ def links(nodes: DataFrame, sets_of, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: int = 80) -> DataFrame:
-    """One row per input row: ``id, n_shingles, component_id, md5``.
+    """One row per input row: ``id, n_shingles, component_id, md5, component``.
 
     ``threshold`` is in hundredths of the Jaccard similarity. ``md5`` is that of
-    the row's text.
+    the row's text, ``component`` a number of the component (null for empty sets).
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.encode(text_or_empty(text_col), "UTF-8").alias("body"))
@@ -343,28 +345,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(nodes, sets_of, threshold))
     ids = nodes.select(F.col("no").alias("root"), F.col("first_id").alias("component_id"))
     known = nodes.select("no", "digest").join(roots, F.col("no") == F.col("node"), "left")
-    known = known.select("digest", F.coalesce("root", "no").alias("root")).join(ids, "root").select("digest", "component_id")
+    known = known.select("digest", F.coalesce("root", "no").alias("root")).join(ids, "root").select("digest", "component_id", "root")
     joined = signed.join(known.withColumn("linked", F.lit(True)), "digest", "left")
     own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("id"))
-    return joined.select("id", "n_shingles", own.alias("component_id"), "md5")
+    return joined.select("id", "n_shingles", own.alias("component_id"), "md5", F.col("root").alias("component"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest id, with all columns.
 
-    Documents without words stay; of rows that repeat the kept id and its text one stays.
+    Documents without words stay. Of rows that repeat this id the one whose text has
+    the smallest MD5 stays, of rows that repeat the text as well any one.
     """
     verdicts = stage(near_duplicates(docs, id_col, text_col, words, threshold), "verdicts")
-    leaving = verdicts.filter(~F.col("id").eqNullSafe(F.col("component_id")))
-    key = [F.col("id").alias("__id"), F.col("md5").alias("__md5")]
-    marked = docs.withColumn("__of", F.unhex(F.md5(text_or_empty(text_col))))
-    here = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__md5"))
-    staying = marked.join(leaving.select(*key).distinct(), here, "left_anti")
-    kept = verdicts.filter(F.col("id").eqNullSafe(F.col("component_id")) & (F.col("n_shingles") > 0))
-    several = kept.groupBy("id").count().filter("count > 1").select(F.col("id").alias("__id"))
+    rows, row_id, text = with_plain_names(docs, id_col, text_col)
+    key = [F.col("id").alias("of"), F.col("md5").alias("md5")]
+    filled = verdicts.filter("n_shingles > 0")
+    first = F.col("id").eqNullSafe(F.col("component_id"))
+    leaving = filled.filter(~first).select(*key)
+    several = filled.filter(first).groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("md5").alias("least")).filter("n > 1")
+    several = stage(several, "several")
+    marked = rows.withColumn("own", F.unhex(F.md5(text_or_empty(text))))
+    here = F.col(row_id).eqNullSafe(F.col("of")) & (F.col("own") == F.col("md5"))
     if several.isEmpty():
-        return staying.drop("__of")
-    same = F.col(id_col).eqNullSafe(F.col("__id"))
-    once = staying.join(several, same, "left_anti")
-    repeated = staying.join(several, same, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(repeated).drop("__of")
+        return marked.join(leaving.distinct(), here, "left_anti").drop("own").toDF(*docs.columns)
+    equals = filled.filter(first).groupBy("component", "id", "md5").agg(F.count(F.lit(1)).alias("n")).join(several.drop("n"), "component")
+    equals = stage(equals, "equals")
+    leaving = leaving.unionByName(equals.filter("md5 <> least").select(*key))
+    twice = equals.filter("md5 = least and n > 1").select(*key)
+    staying = marked.join(leaving.distinct(), here, "left_anti")
+    repeated = staying.join(twice, here, "left_semi").dropDuplicates([row_id, "own"])
+    staying = staying.join(twice, here, "left_anti").unionByName(repeated)
+    return staying.drop("own").toDF(*docs.columns)

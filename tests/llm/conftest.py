@@ -3,7 +3,7 @@ import random
 import pytest
 
 #: Columns that operators do not know, named like columns they use inside.
-CLASHING = "id no n h key keep root size sha md5 start run anchor digest text1 share pivot".split()
+CLASHING = "id no n h key keep root size sha md5 start run anchor digest text1 share pivot __of __id __words __order of own order nth c0 C1".split()
 
 
 @pytest.fixture(scope="session")

@@ -13,19 +13,11 @@ from pyspark.sql import functions as F
 from tagweave.llm import exact, fingerprint, mixing, neardup, packing, queries, repeats, toxicity
 from tagweave.llm.components import components
 from tagweave.llm.suffix import suffix_arrays
+from tests.llm.plain import key, near_components, near_kept, noisy_or, targets, words
 
-SPACE = " \t\n\x0b\x0c\r"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def words(text):
-    return re.findall(rf"[^{SPACE}]+", text or "")
-
-
-def key(row_id, text):
-    return (row_id is None, row_id or 0, hashlib.md5((text or "").encode()).hexdigest())
-
-
 # Exact deduplication
 
 
@@ -149,27 +141,10 @@ def test_every_string_of_a_split_unit_is_filed_once():
 
 
 def near_groups(rows, n):
-    sets = []
-    for i, t, *_ in rows:
-        w = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in words(t)]
-        sets.append((i, t, {tuple(w)} if 0 < len(w) < n else {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}))
-    root = list(range(len(sets)))
-
-    def find(a):
-        while root[a] != a:
-            a = root[a]
-        return a
-
-    for a in range(len(sets)):
-        for b in range(a):
-            x, y = sets[a][2], sets[b][2]
-            if x and y and 100 * len(x & y) >= 80 * len(x | y):
-                root[find(a)] = find(b)
-    least = {}
-    for k, (i, _, s) in enumerate(sets):
-        r = find(k)
-        least[r] = min(least.get(r, (True, 0)), (i is None, i or 0))
-    return Counter((i, len(s), (None if least[find(k)][0] else least[find(k)][1]) if s else i) for k, (i, _, s) in enumerate(sets))
+    least, found = {}, near_components(rows, n)
+    for i, _, _, c in found:
+        least[c] = min(least.get(c, (True, 0)), (i is None, i or 0))
+    return Counter((i, len(s), (None if least[c][0] else least[c][1]) if s else i) for i, _, s, c in found)
 
 
 def test_near_duplicates_on_odd_rows(odd_docs, odd_rows):
@@ -209,11 +184,20 @@ def test_near_duplicates_of_a_drifting_group(spark, monkeypatch):
     assert Counter(tuple(r)[:3] for r in found.collect()) == near_groups(rows, 2)
 
 
-def test_near_deduplicate(odd_docs):
-    kept = neardup.deduplicate(odd_docs, words=5)
-    assert kept.columns == odd_docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert 5 in ids and 6 not in ids and 7 not in ids and {1, 2, 3} <= set(ids)
+def test_near_deduplicate(odd_docs, odd_rows):
+    for n in (2, 5):
+        kept = neardup.deduplicate(odd_docs, words=n)
+        assert kept.columns == odd_docs.columns
+        # Rows without words are no copies of each other, rows that agree in id and text are.
+        expected = Counter(near_kept(list(dict.fromkeys((i, t) for i, t, _ in odd_rows)), n))
+        assert Counter((r.doc_id, r.text or "") for r in kept.collect()) == expected
+
+
+def test_near_deduplicate_tells_documents_with_one_id_apart(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base), (1, base + " x"), (1, "some other text of the same id"), (None, "without an id"), (None, "without an id"), (None, "nor has this"), (2, base)]
+    kept = neardup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter(near_kept(rows, 5)) and len(kept) == 4
 
 
 def test_components(spark):
@@ -278,6 +262,22 @@ def test_rows_without_an_id_are_dealt_to_shards(spark):
     assert len(shards) == 16 and max(r["count"] for r in shards) < 2 * 4000 / 16
 
 
+def test_mixed_rows_are_those_of_their_source(spark):
+    """Rows of several sources that repeat an id or have none: each source keeps to its own words."""
+    rows = [(k % 7 or None, f"{s} " * 12, s, "z") for s in "abcd" for k in range(60)] + [(9, "e " * 5, "e", "z")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __order string").repartition(4)
+    taken, text = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+    found = mixing.mixed(docs).collect()
+    for r in found:
+        text[r.source] += len(words(r.text))
+        assert set(words(r.text)) == {r.source}
+    assert text == taken
+    size = Counter(r[2] for r in rows for _ in words(r[1]))
+    assert all(abs(taken[s] - t) <= 0.1 * t + 5 for s, t in targets(size).items())
+
+
 def test_mix_on_odd_rows(odd_docs, odd_rows):
     found = mixing.mix(odd_docs).collect()
     assert Counter((r.id, r["size"]) for r in found) == Counter((i, len(words(t))) for i, t, _ in odd_rows)
@@ -383,6 +383,7 @@ def test_toxicity_finds_the_sentence(spark):
     found = {r.id: r for r in toxicity.score(docs, weights).collect()}
     tested = [i for i in range(400, 600)]
     assert sum((found[i].score >= 0.7) == (i % 5 == 0) for i in tested) >= 198
+    assert all(abs(found[i].score - noisy_or(weights, rows[i][1])) < 1e-9 for i in range(600))
     hit = found[405]
     assert ["vile" in rows[405][1][o.first : o.upto] for o in hit.offending] == [True]
 
@@ -390,6 +391,8 @@ def test_toxicity_finds_the_sentence(spark):
 def test_toxicity_on_odd_rows(spark, odd_docs, odd_rows):
     labels = spark.createDataFrame([(4, 1), (4, 1), (5, 0), (6, 0), (8, None), (11, 1), (11, 0), (None, 1)], "doc_id long, toxic int")
     found = toxicity.score(odd_docs, toxicity.learn(odd_docs, labels))
+    weights = toxicity.learn(odd_docs, labels)
+    assert Counter((r.id, round(r.score, 9)) for r in found.collect()) == Counter((i, round(noisy_or(weights, t), 9)) for i, t, _ in odd_rows)
     assert found.count() == len(odd_rows) and found.filter("score < 0 or score > 1 or score is null").count() == 0
     assert toxicity.clean(odd_docs, labels.filter("toxic = 9")).count() == len(odd_rows)
 
