@@ -12,6 +12,14 @@
 Each stage takes all rows its predecessor kept and reads nothing from the first
 table again. All but the last return the columns of ``documents``.
 
+Defined cases: a null text counts as an empty one; it has the score of one sentence
+without features, is a copy of other empty texts, near to none and never mixed. A
+null id comes last, so among copies a row with an id stays. Ties go by id, then by
+the MD5 of the text; rows that share an id with other texts are documents of their
+own. Texts are read whole, however long. Without labels of both kinds no document
+is rejected. Empty tables give an empty result. Other columns go through unread,
+whatever they are called.
+
 A fitted model and hash minima decide here, which SQL cannot state, so there is
 no ``ORACLE_SQL``; ``tests/llm/test_pipeline.py`` has the same rules in plain Python.
 """
