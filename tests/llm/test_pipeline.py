@@ -31,7 +31,7 @@ def fixture(spark, odd_docs, odd_rows, tmp_path_factory):
     texts = [[f"v{k}" for k in range(110)]]
     while len(texts) < 150:
         text = list(texts[rng.integers(0, len(texts))])
-        for at in rng.integers(0, 110, rng.integers(1, 5)):
+        for at in rng.integers(0, 110, rng.integers(1, 3)):
             text[at] = f"u{rng.integers(0, 4000)}"
         texts.append(text)
     rows += [(1000 + i, " ".join(texts[k]), "abc"[i % 3]) for i, k in enumerate(rng.permutation(150).tolist())]
@@ -103,7 +103,8 @@ def test_stages_on_odd_rows_and_large_groups(spark, fixture):
     ids = {name: {r.doc_id for r in some} for name, some in rows.items()}
     marked = {i + k for i in range(2000, 2400) if i % 5 == 0 for k in (0, 3000)} & ids["start"]
     assert len(marked & ids["toxicity"]) <= 2 and len(ids["toxicity"] - marked) >= len(ids["start"] - marked) - 2
-    assert len([i for i in ids["near_dedup"] if i and 1000 <= i < 1150]) < 30
+    # Two changed words of 110 leave a similarity above 0.8, so the variants are one group.
+    assert len([i for i in ids["near_dedup"] if i and 1000 <= i < 1150]) == 1
 
 
 def test_empty_tables_go_through(spark, fixture):
