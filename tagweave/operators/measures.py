@@ -15,6 +15,8 @@ from tagweave.functions.money import bad_money, money
 
 #: Unix seconds of the years 1 to 9999.
 SECONDS = (-62135596800, 253402300799)
+#: All that a cast to a whole number may take: ``try_cast`` raises and catches an error for each text it cannot read.
+MAYBE_NUMBER = r"^[\x00-\x20\x7F]*[+-]?[0-9]*(\.[0-9]*)?[\x00-\x20\x7F]*$"
 
 
 def read_time(df: DataFrame, time: str, text_time: str) -> Column:
@@ -30,14 +32,15 @@ def read_time(df: DataFrame, time: str, text_time: str) -> Column:
         return F.col(time).cast("bigint")
     if not isinstance(kind, StringType):
         return F.col(time)
-    seconds = F.col(time).try_cast("bigint")
+    # Date text would cost an error a row; only what may be a number is cast.
+    number, seconds, moment = F.col(time).rlike(MAYBE_NUMBER), F.col(time).try_cast("bigint"), F.col(time).try_cast("timestamp")
     if text_time == "unix":
-        return seconds
+        return F.when(number, seconds)
     if text_time == "datetime":
-        return F.col(time).try_cast("timestamp")
+        return moment
     if text_time == "any":
-        moment = F.when(seconds.between(*SECONDS), unix_moment(seconds))
-        return F.when(seconds.isNull(), F.col(time).try_cast("timestamp")).otherwise(moment)
+        counted = F.when(seconds.between(*SECONDS), unix_moment(seconds))
+        return F.when(number, F.coalesce(counted, F.when(seconds.isNull(), moment))).otherwise(moment)
     raise ValueError(f"unknown text_time {text_time!r}")
 
 
@@ -49,11 +52,6 @@ def latest(df: DataFrame, time: str, text_time: str) -> tuple[Column, Column]:
     return read_time(df, time, text_time), F.to_date(unix_moment(newest) if seconds else newest)
 
 
-def unreadable_time(df: DataFrame, time: str, text_time: str) -> Column:
-    """Rows that have a time which cannot be read."""
-    return F.col(time).isNotNull() & read_time(df, time, text_time).isNull()
-
-
 def last_activity(df: DataFrame, user: str, time: str, text_time: str = "unix") -> DataFrame:
     """``userId`` and the latest time, as seconds or as a timestamp."""
     read, _ = latest(df, time, text_time)

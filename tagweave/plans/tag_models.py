@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tagweave.functions.bands import RFE_DOCUMENTED, RFM_DOCUMENTED, Preset, add_scores, score_columns
 from tagweave.functions.money import bad_money
 from tagweave.operators.match import match_rules
-from tagweave.operators.measures import rfe, rfm, unreadable_time
+from tagweave.operators.measures import read_time, rfe, rfm
 from tagweave.operators.segments import name_ranks, segment
 from tagweave.sinks.profile import assemble, save_profile
 from tagweave.sources.business import SourceDescriptor, TableResolver, describe_source, open_rows, source_filter, unreadable_window
@@ -114,20 +114,27 @@ def tag_activity(
     )
 
 
+#: The time of a row once its text has been read.
+READ_TIME = "_read_time"
+
+
+def time_problems(time: str) -> dict[str, Column]:
+    return {"rows_without_time": F.col(time).isNull(), "unreadable_times": F.col(time).isNotNull() & F.col(READ_TIME).isNull()}
+
+
 def value_problems(
     orders: DataFrame, *, time: str = "finishtime", amount: str = "orderamount", text_time: str = "unix", **_
-) -> dict[str, Column]:
-    """Rows of the order table that the customer value cannot use in full."""
-    return {
-        "rows_without_time": F.col(time).isNull(),
-        "unreadable_times": unreadable_time(orders, time, text_time),
-        "unreadable_amounts": bad_money(F.col(amount)),
-    }
+) -> tuple[str, DataFrame, dict[str, Column]]:
+    """The time column, the orders with their time read, and those that the customer value cannot use in full."""
+    read = orders.withColumn(READ_TIME, read_time(orders, time, text_time))
+    return time, read, time_problems(time) | {"unreadable_amounts": bad_money(F.col(amount))}
 
 
-def activity_problems(log: DataFrame, *, time: str = "log_time", text_time: str = "datetime", **_) -> dict[str, Column]:
-    """Rows of the behaviour log that the activity cannot use in full."""
-    return {"rows_without_time": F.col(time).isNull(), "unreadable_times": unreadable_time(log, time, text_time)}
+def activity_problems(
+    log: DataFrame, *, time: str = "log_time", text_time: str = "datetime", **_
+) -> tuple[str, DataFrame, dict[str, Column]]:
+    """The time column, the behaviour log with its time read, and the rows that the activity cannot use in full."""
+    return time, log.withColumn(READ_TIME, read_time(log, time, text_time)), time_problems(time)
 
 
 class TagModel(NamedTuple):
@@ -135,7 +142,7 @@ class TagModel(NamedTuple):
     kind: str  # MATCH or ML
     compute: Callable[..., DataFrame]
     user: str = "id"  # column of the business table
-    problems: Callable[..., dict[str, Column]] | None = None  # rows to count while they are read
+    problems: Callable[..., tuple[str, DataFrame, dict[str, Column]]] | None = None  # rows to count while they are read
 
 
 # Catalogue ids of the four tags.
@@ -250,8 +257,13 @@ def run_tags(
         for i, model in chosen.items():
             extra = dict((options or {}).get(i, {}))
             user = F.col(extra.get("user", model.user))
-            kinds = {"rows_without_user": user.isNull()} | (model.problems(rows[i], **extra) if model.problems else {})
-            read = counted.watch(rows[i], [i], kinds)
+            kinds, read, time = {"rows_without_user": user.isNull()}, rows[i], None
+            if model.problems:
+                time, read, others = model.problems(read, **extra)
+                kinds |= others
+            read = counted.watch(read, [i], kinds)
+            if time:  # text is read once, for the counts and for the measures
+                read = read.withColumn(time, F.col(READ_TIME)).drop(READ_TIME)
             if handle_invalid == "skip":
                 read = read.filter(user.isNotNull())
             if model.kind == "ML":

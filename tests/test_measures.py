@@ -60,3 +60,19 @@ def test_values_are_folded_before_the_shuffle(spark, plan_of):
     plan = plan_of(measures.rfe(df, dt.date(2024, 5, 10)))
     assert plan.count("hashpartitioning(") == 2 and "hashpartitioning(userId" in plan
     assert "SortAggregate" not in plan and "Python" not in plan
+
+
+def test_date_text_is_not_cast_to_a_number(spark):
+    """A cast that fails costs an error a row: texts that cannot be numbers are told apart before it."""
+    texts = ["5", " 7\t", "+8", "-9", "\n1562000000 ", "1.5", ".", "", " ", "+", "12x", "1 2", "2019", "2019-06-10", "2019-06-10 01:02:03",
+             "never", "99999999999999999999", "253402300800", "9223372036854775807", "\x7f3\x00", " 4", "٣", "1e3", "--1", "5.", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(1)
+    seconds = "try_cast(t as bigint)"
+    moment = f"if({seconds} between {measures.SECONDS[0]} and {measures.SECONDS[1]}, timestamp_seconds({seconds}), null)"
+    plain = {"unix": seconds, "any": f"if({seconds} is null, try_cast(t as timestamp), {moment})"}
+    for kind, sql in plain.items():
+        read = measures.read_time(df, "t", kind)
+        found = df.select("t", read.alias("found"), measures.F.expr(sql).alias("plain")).collect()
+        assert [r for r in found if r.found != r.plain] == []
+        plan = df.select(read)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("RLIKE") < plan.index("as bigint")
