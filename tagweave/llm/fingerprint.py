@@ -131,16 +131,20 @@ def _peel(difference: Column, width: int, seed: Column) -> Column:
         return F.transform(keys, place)
 
     def taken(cells: Column, out: Column) -> Column:
-        return F.transform(
-            cells,
-            lambda c, j: F.aggregate(
-                F.filter(out, lambda d: (d["a"] == j) | (d["b"] == j) | (d["c"] == j)),
-                c,
-                lambda s, d: F.struct(
-                    (s["n"] - d["n"]).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(d["h"]).alias("h")
+        def of_row(name: str, first: int) -> Column:
+            # A digest lies in one cell of each row, so a row's cells ask for their own place only.
+            return F.transform(
+                F.slice(cells, first + 1, width),
+                lambda c, j: F.aggregate(
+                    F.filter(out, lambda d: d[name] == j + first),
+                    c,
+                    lambda s, d: F.struct(
+                        (s["n"] - d["n"]).alias("n"), s["k"].bitwiseXOR(d["k"]).alias("k"), s["h"].bitwiseXOR(d["h"]).alias("h")
+                    ),
                 ),
-            ),
-        )
+            )
+
+        return F.concat(of_row("a", 0), of_row("b", width), of_row("c", 2 * width))
 
     def step(state: Column, _: Column) -> Column:
         def go(out: Column) -> Column:

@@ -417,3 +417,17 @@ def test_toxicity_on_odd_rows(spark, odd_docs, odd_rows):
 )
 def test_empty_tables(no_docs, operator):
     assert operator(no_docs).count() == 0
+
+
+def test_peeled_cells_ask_for_their_own_row_only(spark):
+    """Of a digest's three places a cell compares the one in its row; all differences come back."""
+    left, right = [*range(40)], [*range(6, 46)]
+    df = spark.createDataFrame([(left, right)], "l array<long>, r array<long>")
+    seed, width = fingerprint.F.lit(1).cast("long"), 24
+    cells = [fingerprint._cells(fingerprint._placed(fingerprint.F.col(c), width, seed), width) for c in "lr"]
+    peeled = fingerprint._peel(fingerprint._subtract(*cells), width, seed)
+    found = df.select(peeled.alias("p")).first().p
+    assert found.rest == 0
+    assert {(d.k, d.n) for d in found.found} == {(k, 1) for k in range(6)} | {(k, -1) for k in range(40, 46)}
+    plan = df.select(peeled)._jdf.queryExecution().analyzed().toString()
+    assert not re.search(r"\.[ab] = [^()]*\) OR ", plan)
