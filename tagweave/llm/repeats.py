@@ -61,18 +61,18 @@ _PLACE = np.uint64((1 << 18) - 1)
 _STEP = _rng.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int = LENGTH, seed: int = SEED_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """For the string at each place: where its anchor is, and the hash there.
 
     The anchor is the leftmost of the smallest hashes, compared by their upper
     bits: a choice by content alone, so equal strings have it at the same offset.
     """
     hashed, width, step = _BYTE[data], 1, 0
-    while width < SEED_BYTES:
+    while width < seed:
         hashed = hashed[:-width] * _STEP[step] + hashed[width:]
         width, step = width * 2, step + 1
     hashed ^= hashed >> np.uint64(29)
-    least, window, width = (hashed & ~_PLACE) | np.arange(len(hashed), dtype=np.uint64), length - SEED_BYTES + 1, 1
+    least, window, width = (hashed & ~_PLACE) | np.arange(len(hashed), dtype=np.uint64), length - seed + 1, 1
     while width * 2 <= window:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -81,13 +81,13 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return place, hashed[place].view(np.int64)
 
 
-def units(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH):
+def units(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, seed: int = SEED_BYTES):
     """Units of texts that lie one after the other: anchor, text, first string, number of strings."""
     found = []
     room = np.diff(bounds) >= length
     for at in range(0, len(data) - length + 1, SLICE):
         upto = min(at + SLICE, len(data) - length + 1)
-        anchor, least = anchors(data[at : upto + length - 1], length)
+        anchor, least = anchors(data[at : upto + length - 1], length, seed)
         place = np.arange(at, upto)
         text = np.searchsorted(bounds, place, "right") - 1
         inside = place + length <= bounds[text + 1]

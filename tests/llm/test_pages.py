@@ -188,3 +188,66 @@ def test_repeats_of_a_host_go(spark, monkeypatch, most):
     found = {r.id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i, h, a, b in parts:
         assert found[i] == "\n\n".join([a, b] if h == "a.example" else [a, foot, b])
+
+
+def made(n):
+    return " ".join("".join(random.choice("abcdefghijklmno") for _ in range(7)) for _ in range(n))
+
+
+@pytest.mark.parametrize("group", [16, 512])
+def test_the_host_is_judged_inside_articles(spark, monkeypatch, group):
+    """What most of a host's articles share is the host's; what some of them share, or a small host's do, is the articles'."""
+    monkeypatch.setattr(html_text, "GROUP", group)
+    random.seed(11)
+    call, credit, short = made(12), made(12), ["Share", "Print it", "Tell a friend", "Write to the author", "Back to the top"]
+    rows, expected = [], {}
+    for i in range(130):
+        host, a, b = ("big.example" if i < 120 else f"small{i % 2}.example"), made(30), made(20 + i % 5)
+        blocks = [a, credit if i % 3 == 0 else call, b, *short]
+        page = "<article>" + "".join(f"<p>{x}</p>" for x in blocks) + "</article>"
+        # Copies of an article count once.
+        rows += [(i, f"http://{host}/{i}", page)] * (40 if i == 3 else 1)
+        own = blocks if i >= 120 else [a, credit, b] if i % 3 == 0 else [a, b]
+        expected[i] = "\n\n".join(own)
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.text == expected[r.id], r.id
+
+
+def test_versions_of_one_article_stay_whole(spark):
+    random.seed(12)
+    shared = [made(15) for _ in range(6)]
+    texts = ["\n\n".join([*shared[:3], made(12), *shared[3:]]) for _ in range(40)]
+    rows = [(i, f"http://a.example/{i}", "<article><p>" + t.replace("\n\n", "</p><p>") + "</p></article>") for i, t in enumerate(texts)]
+    found = {r.id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == dict(enumerate(texts))
+
+
+def test_open_text_of_all_pages_shows_what_repeats(spark):
+    """Beside a teaser the host's foot goes, though no other page with that foot has more open text than article."""
+    random.seed(13)
+    foot, main = made(12), made(40)
+    rows = [(0, "http://a.example/0", f"<article><p>teaser</p></article><div><p>{main}</p><p>{foot}</p></div>")]
+    rows += [(i, f"http://a.example/{i}", f"<article><p>{made(50)}</p></article><div><p>{foot}</p></div>") for i in range(1, 4)]
+    found = {r.id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[0] == main
+    assert all(foot not in found[i] for i in range(1, 4))
+
+
+def test_strings_of_an_article_against_plain_python(spark, monkeypatch):
+    """Byte ranges of one host's texts against all strings of all texts, with odd ones among them."""
+    random.seed(14)
+    some = [made(3), made(4)]
+    texts = {" ".join(random.choice(some) for _ in range(random.randint(1, 12))) + random.choice(["", "\n\né ", "x"]) for _ in range(60)} | {"", "a"}
+    monkeypatch.setattr(html_text, "GROUP", 1000)
+    df = spark.createDataFrame([("h", i, t) for i, t in enumerate(sorted(texts))], "host string, mark long, marked string")
+    size = html_text.REPEATED
+    data = [t.encode() for t in sorted(texts)]
+    count = Counter(s for d in data for s in {d[p : p + size] for p in range(len(d) - size + 1)})
+    usual = {s for s, n in count.items() if 2 * n > len(data) - 1}  # the empty text is none
+    assert usual
+    found = {r.mark: {p for s in r.spans for p in range(s.first, s.upto)} for r in html_text.host_spans(df).collect()}
+    for i, d in enumerate(data):
+        places = {p + k for p in range(len(d) - size + 1) if d[p : p + size] in usual for k in range(size)}
+        assert found.get(i, set()) == places
