@@ -46,6 +46,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tagweave.llm.common import text_or_empty
@@ -409,17 +410,27 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["id", "url", "host", "mark", "marked", "text"])
 
 
+def _list_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        anchor, text, start, run = units(*_bytes_of(batch.column("body")), REPEATED)
+        where = pa.array(text)
+        columns = [batch.column("host").take(where), batch.column("content").take(where), pa.array(anchor), pa.array(start), pa.array(run.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "content", "anchor", "start", "run"])
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = _bytes_of(batch.column("body"))
-        anchor, text, start, run = units(data, bounds, REPEATED)
+        listed = batch.column("units")
+        text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(listed).to_numpy())
+        anchor, start, run = (listed.flatten().field(c).to_numpy() for c in ("anchor", "start", "run"))
         begin = bounds[text] + start
         body = data.tobytes()
         parts = [body[a:b] for a, b in zip(begin.tolist(), (begin + run + REPEATED - 1).tolist(), strict=True)]
         digests = [int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "little", signed=True) for p in parts]
         where = pa.array(text)
         columns = [batch.column("host").take(where), pa.array(anchor), pa.array(digests, "int64"), batch.column("content").take(where)]
-        columns += [pa.array(start), pa.array(run.astype(np.int32)), pa.array(parts, "binary")]
+        columns += [pa.array(start), pa.array(run), pa.array(parts, "binary")]
         yield pa.RecordBatch.from_arrays(columns, names=["host", "anchor", "digest", "content", "start", "run", "piece"])
 
 
@@ -501,7 +512,14 @@ def _unique_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def boilerplate_free(opened: DataFrame, wanted: DataFrame) -> DataFrame:
     """``host, content, left`` for the ``wanted`` of different ``host, content, text``: without what other texts of the host share."""
     schema = "host string, anchor bigint, digest bigint, content bigint, start bigint, run int, piece binary"
-    found = opened.withColumn("body", F.encode("text", "UTF-8")).select("host", "content", "body").mapInArrow(_pieces, schema)
+    texts = opened.select("host", "content", F.encode("text", "UTF-8").alias("body"))
+    # Only units whose anchor another text of the host has, too, are cut out.
+    listed = texts.mapInArrow(_list_units, "host string, content bigint, anchor bigint, start bigint, run int").withColumn("key", F.xxhash64("host", "anchor"))
+    shared = listed.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
+    shared = stage(shared, "shared", "zstd")
+    free_shuffles(opened.sparkSession)
+    kept = listed.join(shared, "key", "left_semi").groupBy("host", "content").agg(F.collect_list(F.struct("anchor", "start", "run")).alias("units"))
+    found = texts.join(kept, ["host", "content"]).mapInArrow(_pieces, schema)
     found = stage(found, "pieces", "zstd")
     kinds = found.groupBy("host", "anchor", "digest").agg(
         F.min("content").alias("low"), F.max("content").alias("high"), F.max("run").alias("run"), F.min("piece").alias("piece")
