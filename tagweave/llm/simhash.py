@@ -169,7 +169,7 @@ def meet(turn: int, first: np.ndarray, second: np.ndarray | None, budget: int =
     same = second is None
     one, two = first, first if same else second
     at = np.array([[0, len(one), 0, len(two), 0]], np.int64)
-    found: list[np.ndarray] = []
+    found = [np.zeros((2, 0), np.int64)]  # every pair of ranges may be given up before any is small
     for depth in range(65):
         n, m = at[:, 1] - at[:, 0], at[:, 3] - at[:, 2]
         few = (n * m <= SMALL) | (depth == 64)

@@ -126,6 +126,25 @@ def test_meet_finds_every_pair_within_the_allowance(turn):
             assert apart.bit_count() <= 4 or (a, b) not in pairs
 
 
+def test_meet_with_no_range_left():
+    """Ranges too large to be compared outright, all given up on the way down."""
+    low = np.arange(9, dtype=np.uint64)
+    i, j = simhash.meet(0, low, low + np.uint64(1 << 63))
+    assert len(i) == len(j) == 0
+
+
+def test_pairs_of_leaves_without_links(spark):
+    """Leaves one bit apart, so they are a pair, whose codes differ in all of the next ten bits."""
+    random.seed(7)
+    codes = [(0xABC0 << 48) | random.getrandbits(38) for _ in range(12)] + [(0xABC1 << 48) | (1023 << 38) | random.getrandbits(38) for _ in range(12)]
+    codes.append(codes[0] ^ 5)
+    signed = np.array(sorted(codes), np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(c,) for c in signed], "code long")
+    assert simhash.leaves_and_pairs(frame, 16)[1].filter("turn = 0").count() == 1
+    edges = {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in simhash.links(frame, 16).collect()}
+    assert edges == {frozenset((codes[0], codes[-1]))}
+
+
 def test_every_close_pair_fits_one_of_the_turns():
     random.seed(1)
     for _ in range(3000):
